@@ -28,12 +28,13 @@ from stocklens.oracle.base import LOW, OVER, cash, count_if, long, query
 from stocklens.plans.layout import overwrite, read_current, replace_window, write_by_day
 from stocklens.plans.layout import write_layer
 from stocklens.plans.pipeline import (
+    STAGING_TABLES,
     PublishedMart,
     published_mart,
-    raw_frames,
+    raw_frame,
     raw_snapshot,
     shared_folder,
-    staged_frames,
+    staged_frame,
 )
 from stocklens.sources import extract, topics
 from stocklens.sources.trade_tables import AS_OF, INGESTED, NOW, TradeTables
@@ -101,28 +102,29 @@ def newer_sales(src: TradeTables) -> DataFrame:
     return extract.incremental_read(src.sales_lines, "created_at", TIME_MARK)[0]
 
 
-def wire_rows(src: TradeTables) -> dict[str, DataFrame]:
-    """Rows of the nine inputs as they are published."""
-    products = staging.stg_product(src.skus)
-    facts = {
-        "inventory_topic": src.transactions.drop("event_type", "ingestion_time"),
-        "po_lines_topic": src.po_lines.drop("ingestion_time"),
-        "sales_lines_topic": src.sales_lines.drop("ingestion_time"),
-        "snapshot_topic": extract.extract_snapshot(
-            raw_snapshot(src).drop("ingestion_time"), products
-        ),
-        "stock_counts_topic": src.stock_counts.drop("ingestion_time"),
-        "dim_skus_topic": src.skus,
-        "dim_warehouses_topic": src.warehouses,
-        "dim_suppliers_topic": src.suppliers,
-        "dim_customers_topic": src.customers,
-    }
-    return {topic: extract.to_wire(df) for topic, df in facts.items()}
+# Rows of the nine inputs as the source holds them.
+OUTGOING: dict[str, Callable[[TradeTables], DataFrame]] = {
+    "inventory_topic": lambda src: src.transactions.drop("event_type", "ingestion_time"),
+    "po_lines_topic": lambda src: src.po_lines.drop("ingestion_time"),
+    "sales_lines_topic": lambda src: src.sales_lines.drop("ingestion_time"),
+    "snapshot_topic": lambda src: extract.extract_snapshot(
+        raw_snapshot(src).drop("ingestion_time"), staging.stg_product(src.skus)
+    ),
+    "stock_counts_topic": lambda src: src.stock_counts.drop("ingestion_time"),
+    "dim_skus_topic": lambda src: src.skus,
+    "dim_warehouses_topic": lambda src: src.warehouses,
+    "dim_suppliers_topic": lambda src: src.suppliers,
+    "dim_customers_topic": lambda src: src.customers,
+}
+
+
+def wire_rows(src: TradeTables, topic: str) -> DataFrame:
+    return extract.to_wire(OUTGOING[topic](src))
 
 
 def landed(src: TradeTables, topic: str) -> DataFrame:
     """Publish, read back and land the rows of one input."""
-    return topics.land(topics.to_messages(wire_rows(src)[topic]), topic, INGESTED)
+    return topics.land(topics.to_messages(wire_rows(src, topic)), topic, INGESTED)
 
 
 def event_messages(src: TradeTables) -> DataFrame:
@@ -225,7 +227,7 @@ def _register_a() -> None:
         FROM raw_po_lines WHERE po_line_id > {LINE_MARK}"""))
     _source("a2_incremental_time", newer_sales,
             query(f"SELECT * FROM raw_sales_lines WHERE created_at > TIMESTAMP '{TIME_MARK}'"))
-    _source("a3_a4_wire_snapshot", lambda s: wire_rows(s)["snapshot_topic"], ol.wire_snapshot())
+    _source("a3_a4_wire_snapshot", lambda s: wire_rows(s, "snapshot_topic"), ol.wire_snapshot())
     _source("a8_land_movements", lambda s: landed(s, "inventory_topic"), query(
         """SELECT warehouse_id, sku_id, qty_change, event_time, ingestion_time FROM raw_tx"""))
     _source("a9_land_po_lines", lambda s: landed(s, "po_lines_topic"), ol.whole("raw_po_lines"))
@@ -260,10 +262,6 @@ def _register_a() -> None:
 # --- B and C: staging and mart -----------------------------------------------------------------
 
 
-def staged(src: TradeTables, name: str) -> DataFrame:
-    return staged_frames(src.spark, raw_frames(src))[name]
-
-
 def _register_b_c() -> None:
     names = {
         "b2_stg_transactions": "stg_inventory_transactions_clean",
@@ -278,7 +276,7 @@ def _register_b_c() -> None:
         "b11_calendar": "stg_dim_date",
     }
     for name, table in names.items():
-        _source(name, lambda s, k=table: staged(s, k), ol.whole(ol.NAMES[table]))
+        _source(name, lambda s, k=table: staged_frame(s, k), ol.whole(ol.NAMES[table]))
     _source("b1_normalised_keys", lambda s: staging.normalise_keys(
         s.transactions, ["warehouse_id", "sku_id"]), ol.whole("clean_tx"))
     _source("b7_product_all_versions", lambda s: staging.stg_product(s.skus, dedupe=False)
@@ -289,7 +287,7 @@ def _register_b_c() -> None:
     _source("b11_calendar_full_names", lambda s: staging.calendar(
         s.spark, AS_OF - timedelta(days=800), 861, full_day_names=True), ol.calendar_full_names())
     _source("b12_staging_counts", lambda s: staging.layer_counts(
-        staged_frames(s.spark, raw_frames(s))), ol.counts_row(list(names.values())))
+        {n: staged_frame(s, n) for n in STAGING_TABLES}), ol.counts_row(list(names.values())))
     for i, (field, table) in enumerate(TABLE_NAMES.items(), 1):
         _mart(f"c{i}_{table}", lambda t, k=field, n=table: conform(getattr(t, k), n),
               ol.whole(ol.NAMES[table]))
@@ -551,19 +549,17 @@ def source_tables(src: TradeTables) -> dict[str, DataFrame]:
 
 
 def ready_tables(src: TradeTables, t: PublishedMart) -> dict[str, DataFrame]:
-    raw = raw_frames(src)
-    return {n: raw[n] for n in RAW_FACTS} | mart_frames(t)
+    return {n: raw_frame(src, n) for n in RAW_FACTS} | mart_frames(t)
 
 
 def reconciled(src: TradeTables, t: PublishedMart) -> DataFrame:
-    raw = raw_frames(src)
     in_raw = {
-        "inventory_transactions": raw["raw_inventory_transactions"],
-        "inventory_snapshot_daily": raw["raw_inventory_snapshot_daily"],
-        "purchase_order_lines": raw["raw_purchase_order_lines"],
-        "sales_order_lines": raw["raw_sales_order_lines"],
-        "stock_counts": raw["raw_stock_counts"],
-        "skus": raw["raw_dim_skus"],
+        "inventory_transactions": raw_frame(src, "raw_inventory_transactions"),
+        "inventory_snapshot_daily": raw_frame(src, "raw_inventory_snapshot_daily"),
+        "purchase_order_lines": raw_frame(src, "raw_purchase_order_lines"),
+        "sales_order_lines": raw_frame(src, "raw_sales_order_lines"),
+        "stock_counts": raw_frame(src, "raw_stock_counts"),
+        "skus": raw_frame(src, "raw_dim_skus"),
     }
     in_mart = {
         "inventory_transactions": t.movement, "inventory_snapshot_daily": t.snapshot,
@@ -616,7 +612,7 @@ def _register_h() -> None:
     _source("h1_source_counts", lambda s: quality.source_counts(source_tables(s)),
             ol.counts_rows(SOURCE_TABLES))
     _source("h2_raw_counts", lambda s: staging.layer_counts(
-        {n: raw_frames(s)[n] for n in RAW_FACTS}), ol.counts_row(RAW_FACTS))
+        {n: raw_frame(s, n) for n in RAW_FACTS}), ol.counts_row(RAW_FACTS))
     _view("h3_population", lambda s, t: quality.assert_populated(ready_tables(s, t)),
           ol.counts_rows(RAW_FACTS + list(TABLE_NAMES.values()), populated=True))
     _view("h4_reconcile_counts", reconciled, ol.reconcile({

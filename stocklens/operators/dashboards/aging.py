@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.functions import count_where, ratio, sum_long, sum_money
-from stocklens.operators.filters import NO_FILTERS, Filters, or_key, or_unknown, with_dims
+from stocklens.operators.filters import (
+    NO_FILTERS, Filters, or_key, or_unknown, rolled_up, with_dims,
+)
 from stocklens.operators.mart import Tables
 from stocklens.plans.layout import since
 
@@ -46,19 +48,17 @@ def bucket_of(days: Column) -> Column:
     return out
 
 
-def _counted(t: Tables, f: Filters, as_of: date, need: tuple[str, ...] = ()) -> DataFrame:
-    """Count results of the window per day and pair, with the dimensions a panel needs."""
-    variance = F.abs("variance_qty")
-    per_pair = (
-        since(t.stock_counts, "count_date", as_of - timedelta(days=COUNT_DAYS))
-        .groupBy("count_date", *PAIR)
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            count_where(F.col("variance_qty") == 0).alias("exact"),
-            sum_long(variance).alias("variance"),
-        )
-    )
-    return with_dims(per_pair, t, f, ALL, need)
+def _counted(
+    t: Tables, f: Filters, as_of: date, keys: tuple[str, ...] = (), need: tuple[str, ...] = ()
+) -> DataFrame:
+    """Count results of the window, summed before dimensions are joined."""
+    rows = since(t.stock_counts, "count_date", as_of - timedelta(days=COUNT_DAYS))
+    measures = [
+        F.count(F.lit(1)).alias("events"),
+        count_where(F.col("variance_qty") == 0).alias("exact"),
+        sum_long(F.abs("variance_qty")).alias("variance"),
+    ]
+    return rolled_up(rows, t, f, ALL, keys, measures, need)
 
 
 def _events() -> Column:
@@ -123,7 +123,7 @@ def aging_buckets_present(t: Tables) -> DataFrame:
 
 def variance_trend(t: Tables, f: Filters, as_of: date) -> DataFrame:
     return (
-        _counted(t, f, as_of)
+        _counted(t, f, as_of, ("count_date",))
         .groupBy(F.col("count_date").alias("time"))
         .agg(_mean_variance().alias("avg_abs_variance"), _accuracy().alias("accuracy_pct"))
         .orderBy("time")
@@ -174,7 +174,7 @@ def _warehouse() -> Column:
 
 def variance_by_warehouse(t: Tables, f: Filters, as_of: date) -> DataFrame:
     return (
-        _counted(t, f, as_of, ("warehouse_name",))
+        _counted(t, f, as_of, ("warehouse_id",), ("warehouse_name",))
         .groupBy(_warehouse())
         .agg(
             _events().alias("count_events"),
@@ -188,7 +188,7 @@ def variance_by_warehouse(t: Tables, f: Filters, as_of: date) -> DataFrame:
 
 def accuracy_by_warehouse(t: Tables, as_of: date) -> DataFrame:
     return (
-        _counted(t, NO_FILTERS, as_of, ("warehouse_name",))
+        _counted(t, NO_FILTERS, as_of, ("warehouse_id",), ("warehouse_name",))
         .groupBy(_warehouse())
         .agg(_accuracy().alias("accuracy_pct"))
         .orderBy("accuracy_pct", "warehouse")

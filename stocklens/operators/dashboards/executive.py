@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.functions import count_where, epoch_millis, sum_long, sum_money
-from stocklens.operators.filters import NO_FILTERS, Filters, or_key, or_unknown, with_dims
+from stocklens.operators.filters import (
+    NO_FILTERS, Filters, or_key, or_unknown, rolled_up, with_dims,
+)
 from stocklens.operators.mart import Tables
 from stocklens.operators.reports import above_max, below_reorder
 
@@ -48,18 +50,22 @@ def value_over_time(t: Tables) -> DataFrame:
 
 
 def value_by_warehouse(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
-    rows = with_dims(t.latest_snapshot(), t, f, ALL, ["warehouse_name"])
+    value = sum_money("inventory_value").alias("inventory_value")
+    sums = rolled_up(
+        t.latest_snapshot(), t, f, ALL, ["warehouse_id"], [value], ["warehouse_name"]
+    )
     return (
-        rows.groupBy(or_key("warehouse_name", "warehouse_id").alias("warehouse"))
+        sums.groupBy(or_key("warehouse_name", "warehouse_id").alias("warehouse"))
         .agg(sum_money("inventory_value").alias("inventory_value"))
         .orderBy(F.desc("inventory_value"), "warehouse")
     )
 
 
 def value_by_category(t: Tables) -> DataFrame:
-    rows = with_dims(t.latest_snapshot(), t, NO_FILTERS, "", ["category"])
+    value = sum_money("inventory_value").alias("inventory_value")
+    sums = rolled_up(t.latest_snapshot(), t, NO_FILTERS, "", ["sku_id"], [value], ["category"])
     return (
-        rows.groupBy(or_unknown("category").alias("category"))
+        sums.groupBy(or_unknown("category").alias("category"))
         .agg(sum_money("inventory_value").alias("inventory_value"))
         .orderBy(F.desc("inventory_value"), "category")
     )

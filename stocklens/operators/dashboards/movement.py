@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from stocklens.functions import ratio, sum_long, sum_money
 from stocklens.operators.dashboards.executive import latest_kpi
-from stocklens.operators.filters import NO_FILTERS, Filters, chosen, or_key, or_unknown, with_dims
+from stocklens.operators.filters import (
+    NO_FILTERS, Filters, chosen, or_key, or_unknown, rolled_up, with_dims,
+)
 from stocklens.operators.mart import Tables
 from stocklens.plans.layout import since
 
@@ -19,8 +21,8 @@ PAIR = ["warehouse_id", "sku_id"]
 
 def avg_daily_sold(t: Tables, f: Filters, as_of: date) -> DataFrame:
     rows = since(t.sales_lines, "created_date", as_of - timedelta(days=30))
-    per_sku = rows.groupBy("sku_id").agg(sum_long("qty").alias("qty"))
-    sold = with_dims(per_sku, t, f, "CBK").agg(sum_long("qty").alias("sold"))
+    sums = rolled_up(rows, t, f, "CBK", [], [sum_long("qty").alias("qty")])
+    sold = sums.agg(sum_long("qty").alias("sold"))
     return sold.select(ratio(F.col("sold"), F.lit(30)).alias("value"))
 
 
@@ -32,42 +34,40 @@ def in_transit_total(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
     return latest_kpi(t, f, sum_long("in_transit_qty"))
 
 
-def _moved(t: Tables, as_of: date, days: int, *keys: str) -> DataFrame:
-    """Movements of a time window rolled up per key, before any dimension is joined.
-
-    A hot pair is one row per task here, so neither the shuffle nor the joins see its size.
-    """
+def _moved(
+    t: Tables, f: Filters, as_of: date, days: int, keys: list[str], need: tuple[str, ...] = ()
+) -> DataFrame:
     rows = since(t.movement, "event_date", as_of - timedelta(days=days))
-    return rows.groupBy(*keys).agg(
+    measures = [
         sum_long("qty_in").alias("qty_in"),
         sum_long("qty_out").alias("qty_out"),
         sum_long(F.abs("qty_change")).alias("volume"),
-    )
+    ]
+    return rolled_up(rows, t, f, ALL, keys, measures, need)
 
 
 def inbound_outbound(t: Tables, f: Filters, as_of: date) -> DataFrame:
-    rows = with_dims(_moved(t, as_of, 90, "event_date", *PAIR), t, f, ALL)
     return (
-        rows.groupBy(F.col("event_date").alias("time"))
+        _moved(t, f, as_of, 90, ["event_date"])
+        .groupBy(F.col("event_date").alias("time"))
         .agg(sum_long("qty_in").alias("inbound_qty"), sum_long("qty_out").alias("outbound_qty"))
         .orderBy("time")
     )
 
 
 def receiving_dispatch(t: Tables, f: Filters, as_of: date) -> DataFrame:
-    rows = with_dims(_moved(t, as_of, 30, *PAIR), t, f, ALL, ["warehouse_name"])
     return (
-        rows.groupBy(or_key("warehouse_name", "warehouse_id").alias("warehouse"))
+        _moved(t, f, as_of, 30, ["warehouse_id"], ("warehouse_name",))
+        .groupBy(or_key("warehouse_name", "warehouse_id").alias("warehouse"))
         .agg(sum_long("qty_in").alias("received_qty"), sum_long("qty_out").alias("dispatched_qty"))
         .orderBy(F.desc("received_qty"), "warehouse")
     )
 
 
 def top_movers(t: Tables, f: Filters, as_of: date) -> DataFrame:
-    need = ["sku_name", "category", "unit_cost"]
-    rows = with_dims(_moved(t, as_of, 30, *PAIR), t, f, ALL, need)
     return (
-        rows.groupBy(
+        _moved(t, f, as_of, 30, ["sku_id"], ("sku_name", "category", "unit_cost"))
+        .groupBy(
             "sku_id", or_key("sku_name", "sku_id").alias("sku_name"),
             or_unknown("category").alias("category"),
         )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.functions import count_where, sum_long, sum_money, timestamp_lit
-from stocklens.operators.filters import NO_FILTERS, Filters, in_range, with_dims
+from stocklens.operators.filters import NO_FILTERS, Filters, in_range, rolled_up, with_dims
 from stocklens.operators.mart import Tables
 
 ALL = "WRCBK"
@@ -22,7 +22,8 @@ def negative_stock_rows(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
 
 def snapshot_lag_hours(t: Tables, f: Filters, now: datetime) -> DataFrame:
     """Whole hours since the newest landed snapshot row; NULL without rows."""
-    newest = with_dims(t.snapshot, t, f, ALL).agg(F.max("ingestion_time").alias("newest"))
+    landed = F.max("ingestion_time").alias("newest")
+    newest = rolled_up(t.snapshot, t, f, ALL, [], [landed]).agg(F.max("newest").alias("newest"))
     seconds = F.unix_timestamp(timestamp_lit(now)) - F.unix_timestamp("newest")
     return newest.select(F.floor(seconds / 3600).cast("bigint").alias("snapshot_lag_hours"))
 

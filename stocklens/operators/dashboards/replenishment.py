@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stocklens.functions import count_where, not_below_zero, ratio, sum_long
 from stocklens.functions.core import ratio_units
 from stocklens.operators.filters import (
-    NO_FILTERS, Filters, chosen, in_range, or_key, or_unknown, with_dims,
+    NO_FILTERS, Filters, chosen, in_range, or_key, or_unknown, rolled_up, with_dims,
 )
 from stocklens.operators.mart import Tables
 from stocklens.operators.reports import below_reorder
@@ -21,13 +21,9 @@ NO_DEMAND_COVER = 9999.0  # Fixed value: days of cover of a SKU that does not se
 
 
 def _open_lines(t: Tables, f: Filters) -> DataFrame:
-    """Open quantity and lines per SKU; the product filters see one row per SKU."""
-    per_sku = (
-        t.po_lines.filter(F.col("qty_open") > 0)
-        .groupBy("sku_id")
-        .agg(sum_long("qty_open").alias("qty_open"), F.count(F.lit(1)).alias("lines"))
-    )
-    return with_dims(per_sku, t, f, "CBK")
+    rows = t.po_lines.filter(F.col("qty_open") > 0)
+    measures = [sum_long("qty_open").alias("qty_open"), F.count(F.lit(1)).alias("lines")]
+    return rolled_up(rows, t, f, "CBK", [], measures)
 
 
 def open_po_qty(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
@@ -127,13 +123,12 @@ def urgent_replenishment(t: Tables, as_of: date) -> DataFrame:
 
 
 def po_trend(t: Tables, f: Filters, as_of: date) -> DataFrame:
-    per_sku = (
-        in_range(t.po_lines, "created_date", f, as_of)
-        .groupBy("created_date", "sku_id")
-        .agg(sum_long("qty_open").alias("open_qty"), sum_long("qty_received").alias("received_qty"))
-    )
+    rows = in_range(t.po_lines, "created_date", f, as_of)
+    measures = [
+        sum_long("qty_open").alias("open_qty"), sum_long("qty_received").alias("received_qty"),
+    ]
     return (
-        with_dims(per_sku, t, f, "CBK")
+        rolled_up(rows, t, f, "CBK", ["created_date"], measures)
         .groupBy(F.col("created_date").cast("timestamp").alias("time"))
         .agg(sum_long("open_qty").alias("open_qty"), sum_long("received_qty").alias("received_qty"))
         .orderBy("time")

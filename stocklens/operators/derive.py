@@ -26,41 +26,38 @@ def build_snapshot(
     window; ``opening="history"`` carries the balance of all earlier movements in.
     ``shelf_rule`` gives reserved, damaged and in-transit quantities as columns.
 
-    Movements are summed per day on the map side before they are shuffled, and a pair holds at
-    most one row per day of the window, so a hot pair stays small. The running sum reuses the
-    partitioning of the join on SKU.
+    Movements are summed per day on the map side before they are shuffled, so a hot pair holds
+    at most one row per day of the window. The balance after each of these days lasts until the
+    next one; the days in between are filled in from that range, without a grid to join.
     """
     if opening not in ("zero", "history"):
         raise ValueError(f"unknown opening: {opening}")
     days = days_back if days_back is not None and days_back >= MIN_DAYS else DEFAULT_DAYS
-    first = as_of - timedelta(days=days)
-    before = first - timedelta(days=1)
+    first, last = F.lit(as_of - timedelta(days=days)), F.lit(as_of)
     day = F.to_date("event_time")
-    window = tx.filter(day <= F.lit(as_of))
+    window = tx.filter(day <= last)
     if opening == "zero":
-        window = window.filter(day >= F.lit(first))
-    net = window.groupBy(*PAIR, F.greatest(day, F.lit(before)).alias("d")).agg(
+        window = window.filter(day >= first)
+    # Everything before the window counts as one movement on the day before it.
+    net = window.groupBy(*PAIR, F.greatest(day, F.date_sub(first, 1)).alias("day")).agg(
         F.sum("qty_change").alias("net")
     )
-    pairs = net.groupBy(*PAIR).agg(
-        F.map_from_entries(F.collect_list(F.struct("d", "net"))).alias("by_day")
+    by_day = Window.partitionBy(*PAIR).orderBy("day")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_first = F.lag("day").over(by_day).isNull()
+    changes = net.select(
+        *PAIR, "day",
+        F.sum("net").over(so_far).alias("balance"),
+        F.when(is_first, first).otherwise(F.greatest("day", first)).alias("valid_from"),
+        F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), last).alias("valid_to"),
     )
-
-    def net_on(d: Column) -> Column:
-        return F.coalesce(F.element_at("by_day", d), F.lit(0))
-
     grid = (
-        pairs.join(skus.select("sku_id", "unit_cost"), "sku_id")
-        .withColumn("snapshot_date", F.explode(F.sequence(F.lit(first), F.lit(as_of))))
-        .withColumn("opening", net_on(F.lit(before)))
-        .withColumn("net", net_on(F.col("snapshot_date")))
-    )
-    so_far = (
-        Window.partitionBy(*PAIR)
-        .orderBy("snapshot_date")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        changes.filter(F.col("valid_to") >= first)
+        .join(skus.select("sku_id", "unit_cost"), "sku_id")
+        .withColumn("snapshot_date", F.explode(F.sequence("valid_from", "valid_to")))
     )
-    balance = F.col("opening") + F.sum("net").over(so_far)
+    # The first range of a pair starts with the window; before its first movement it is empty.
+    balance = F.when(F.col("snapshot_date") >= F.col("day"), F.col("balance")).otherwise(0)
     rule = shelf_rule or {}
     zero = F.lit(0)
     stocked = F.col("balance") > 0

@@ -52,7 +52,30 @@ def in_range(df: DataFrame, date_col: str, f: Filters, as_of: date) -> DataFrame
     return between(df, date_col, first, last)
 
 
-_PRODUCT = {"C": ("category", "category"), "B": ("brand", "brand")}
+def _dims_of(fact: DataFrame, t: Tables, f: Filters, applies: str, need: Sequence[str]):
+    """Tests on dimension columns, and the dimensions to join as (frame, key, columns)."""
+    chosen_values = {
+        "region": f.region if "R" in applies else None,
+        "category": f.category if "C" in applies else None,
+        "brand": f.brand if "B" in applies else None,
+    }
+    tests = {c: values for c, values in chosen_values.items() if values is not None}
+    wanted = set(need) | set(tests)
+    joins = []
+    for dim, key in ((t.product, "sku_id"), (t.warehouse, "warehouse_id")):
+        taken = [c for c in dim.columns if c in wanted and c not in fact.columns]
+        if taken:
+            joins.append((dim, key, taken))
+    return tests, joins
+
+
+def _on_keys(fact: DataFrame, f: Filters, applies: str) -> DataFrame:
+    out = fact
+    if "W" in applies and f.warehouse is not None:
+        out = out.filter(chosen("warehouse_id", f.warehouse))
+    if "K" in applies and f.sku is not None:
+        out = out.filter(chosen("sku_id", f.sku))
+    return out
 
 
 def with_dims(
@@ -64,27 +87,37 @@ def with_dims(
     B brand, K SKU. A dimension is joined only when the report shows it or a chosen value
     tests it. The join keeps facts without a dimension row; a chosen value then drops them.
     """
-    out = fact
-    if "W" in applies and f.warehouse is not None:
-        out = out.filter(chosen("warehouse_id", f.warehouse))
-    if "K" in applies and f.sku is not None:
-        out = out.filter(chosen("sku_id", f.sku))
-    tests = {
-        "region": f.region if "R" in applies else None,
-        "category": f.category if "C" in applies else None,
-        "brand": f.brand if "B" in applies else None,
-    }
-    wanted = set(need) | {c for c, values in tests.items() if values is not None}
-    for dim, key in ((t.product, "sku_id"), (t.warehouse, "warehouse_id")):
-        taken = [c for c in dim.columns if c in wanted and c not in fact.columns]
-        if taken:
-            out = out.join(dim.select(key, *taken), key, "left")
+    tests, joins = _dims_of(fact, t, f, applies, need)
+    out = _on_keys(fact, f, applies)
+    for dim, key, taken in joins:
+        out = out.join(dim.select(key, *taken), key, "left")
     for column, values in tests.items():
-        if values is not None:
-            out = out.filter(chosen(column, values))
+        out = out.filter(chosen(column, values))
     return out
 
 
+def rolled_up(
+    fact: DataFrame,
+    t: Tables,
+    f: Filters,
+    applies: str,
+    keys: Sequence[str],
+    measures: Sequence[Column],
+    need: Sequence[str] = (),
+) -> DataFrame:
+    """``with_dims`` over a fact that is summed before any dimension is joined.
+
+    The sums are per ``keys`` and per key of a joined dimension. A hot key is one row per task
+    by then, so neither the shuffle nor the joins see its size. Without a dimension to join the
+    fact is summed per ``keys`` alone.
+    """
+    _, joins = _dims_of(fact, t, f, applies, need)
+    group = list(dict.fromkeys([*keys, *(key for _, key, _ in joins)]))
+    sums = _on_keys(fact, f, applies).groupBy(*group).agg(*measures)
+    only_dims = "".join(c for c in applies if c not in "WK")
+    return with_dims(sums, t, f, only_dims, need)
+
+
 def or_key(name: str, key: str) -> Column:
     return F.coalesce(name, key)
 

@@ -97,3 +97,7 @@ def dim_supplier(stg: DataFrame) -> DataFrame:
 
 def dim_customer(stg: DataFrame) -> DataFrame:
     return conform(stg, "dim_customer")
+
+
+def dim_date(stg: DataFrame) -> DataFrame:
+    return conform(stg, "dim_date")

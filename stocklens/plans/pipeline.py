@@ -18,7 +18,7 @@ from stocklens.functions import timestamp_lit
 from stocklens.operators import mart, staging
 from stocklens.operators.derive import build_snapshot
 from stocklens.operators.mart import TABLE_NAMES, Tables, latest_rows
-from stocklens.plans.layout import current_path, swap_overwrite
+from stocklens.plans.layout import current_path, overwrite, swap_overwrite
 from stocklens.sources.trade_tables import AS_OF, INGESTED, TradeTables, sample_shelf_rule
 
 SNAPSHOT_DAYS = 7
@@ -33,9 +33,10 @@ LAYOUT: dict[str, tuple[str, list[str], bool]] = {
 }
 
 
-def raw_snapshot(src: TradeTables) -> DataFrame:
+def raw_snapshot(src: TradeTables, tx: DataFrame | None = None) -> DataFrame:
     """Daily snapshot of the sample data as it lands in the raw layer."""
-    tx = staging.normalise_keys(src.transactions, ["warehouse_id", "sku_id"])
+    if tx is None:
+        tx = staging.normalise_keys(src.transactions, ["warehouse_id", "sku_id"])
     built = build_snapshot(
         tx, src.sku_costs, AS_OF, SNAPSHOT_DAYS, sample_shelf_rule(), opening="history"
     )
@@ -44,57 +45,68 @@ def raw_snapshot(src: TradeTables) -> DataFrame:
     )
 
 
-def raw_frames(src: TradeTables) -> dict[str, DataFrame]:
-    """The nine raw tables. The source's own movement type does not survive the extract."""
-    return {
-        "raw_inventory_transactions": src.transactions.drop("event_type"),
-        "raw_inventory_snapshot_daily": raw_snapshot(src),
-        "raw_purchase_order_lines": src.po_lines,
-        "raw_sales_order_lines": src.sales_lines,
-        "raw_stock_counts": src.stock_counts,
-        "raw_dim_skus": src.skus,
-        "raw_dim_warehouses": src.warehouses,
-        "raw_dim_suppliers": src.suppliers,
-        "raw_dim_customers": src.customers,
-    }
-
-
-def staged_frames(spark: SparkSession, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_inventory_transactions_clean": staging.stg_transactions(
-            raw["raw_inventory_transactions"]
-        ),
-        "stg_inventory_snapshot_daily_clean": staging.stg_snapshot(
-            raw["raw_inventory_snapshot_daily"]
-        ),
-        "stg_purchase_order_lines_clean": staging.stg_po_lines(raw["raw_purchase_order_lines"]),
-        "stg_sales_order_lines_clean": staging.stg_sales_lines(raw["raw_sales_order_lines"]),
-        "stg_stock_counts_clean": staging.stg_stock_counts(raw["raw_stock_counts"]),
-        "stg_dim_product_latest": staging.stg_product(raw["raw_dim_skus"]),
-        "stg_dim_warehouse_latest": staging.stg_warehouse(raw["raw_dim_warehouses"]),
-        "stg_dim_supplier_latest": staging.stg_supplier(raw["raw_dim_suppliers"]),
-        "stg_dim_customer_latest": staging.stg_customer(raw["raw_dim_customers"]),
-        "stg_dim_date": staging.dim_date(spark, AS_OF),
-    }
-
-
-def mart_from_staging(stg: dict[str, DataFrame]) -> Tables:
-    return Tables(
-        movement=mart.fact_movement(stg["stg_inventory_transactions_clean"]),
-        snapshot=mart.fact_snapshot(stg["stg_inventory_snapshot_daily_clean"]),
-        po_lines=mart.fact_po_lines(stg["stg_purchase_order_lines_clean"]),
-        sales_lines=mart.fact_sales_lines(stg["stg_sales_order_lines_clean"]),
-        stock_counts=mart.fact_stock_counts(stg["stg_stock_counts_clean"]),
-        product=mart.dim_product(stg["stg_dim_product_latest"]),
-        warehouse=mart.dim_warehouse(stg["stg_dim_warehouse_latest"]),
-        supplier=mart.dim_supplier(stg["stg_dim_supplier_latest"]),
-        customer=mart.dim_customer(stg["stg_dim_customer_latest"]),
-        date=stg["stg_dim_date"],
-    )
+# Raw tables. The source's own movement type does not survive the extract.
+RAW: dict[str, Callable[[TradeTables], DataFrame]] = {
+    "raw_inventory_transactions": lambda src: src.transactions.drop("event_type"),
+    "raw_inventory_snapshot_daily": raw_snapshot,
+    "raw_purchase_order_lines": lambda src: src.po_lines,
+    "raw_sales_order_lines": lambda src: src.sales_lines,
+    "raw_stock_counts": lambda src: src.stock_counts,
+    "raw_dim_skus": lambda src: src.skus,
+    "raw_dim_warehouses": lambda src: src.warehouses,
+    "raw_dim_suppliers": lambda src: src.suppliers,
+    "raw_dim_customers": lambda src: src.customers,
+}
+
+# Staging tables: the raw table each one reads and how it is cleaned.
+STAGED: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "stg_inventory_transactions_clean": ("raw_inventory_transactions", staging.stg_transactions),
+    "stg_inventory_snapshot_daily_clean": ("raw_inventory_snapshot_daily", staging.stg_snapshot),
+    "stg_purchase_order_lines_clean": ("raw_purchase_order_lines", staging.stg_po_lines),
+    "stg_sales_order_lines_clean": ("raw_sales_order_lines", staging.stg_sales_lines),
+    "stg_stock_counts_clean": ("raw_stock_counts", staging.stg_stock_counts),
+    "stg_dim_product_latest": ("raw_dim_skus", staging.stg_product),
+    "stg_dim_warehouse_latest": ("raw_dim_warehouses", staging.stg_warehouse),
+    "stg_dim_supplier_latest": ("raw_dim_suppliers", staging.stg_supplier),
+    "stg_dim_customer_latest": ("raw_dim_customers", staging.stg_customer),
+}
+CALENDAR = "stg_dim_date"
+
+# Mart tables: the staging table each one reads and how it becomes a fact or dimension.
+MART_READS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "movement": ("stg_inventory_transactions_clean", mart.fact_movement),
+    "snapshot": ("stg_inventory_snapshot_daily_clean", mart.fact_snapshot),
+    "po_lines": ("stg_purchase_order_lines_clean", mart.fact_po_lines),
+    "sales_lines": ("stg_sales_order_lines_clean", mart.fact_sales_lines),
+    "stock_counts": ("stg_stock_counts_clean", mart.fact_stock_counts),
+    "product": ("stg_dim_product_latest", mart.dim_product),
+    "warehouse": ("stg_dim_warehouse_latest", mart.dim_warehouse),
+    "supplier": ("stg_dim_supplier_latest", mart.dim_supplier),
+    "customer": ("stg_dim_customer_latest", mart.dim_customer),
+    "date": (CALENDAR, mart.dim_date),
+}
+STAGING_TABLES = [staged for staged, _ in MART_READS.values()]
+
+
+def raw_frame(src: TradeTables, name: str) -> DataFrame:
+    return RAW[name](src)
+
+
+def staged_frame(src: TradeTables, name: str) -> DataFrame:
+    if name == CALENDAR:
+        return staging.dim_date(src.spark, AS_OF)
+    raw, clean = STAGED[name]
+    return clean(raw_frame(src, raw))
+
+
+def mart_frame(src: TradeTables, field: str) -> DataFrame:
+    """One mart table as a lazy frame, all the way from the source."""
+    staged, build = MART_READS[field]
+    return build(staged_frame(src, staged))
 
 
 def lazy_mart(src: TradeTables) -> Tables:
-    return mart_from_staging(staged_frames(src.spark, raw_frames(src)))
+    return Tables(**{field: mart_frame(src, field) for field in MART_READS})
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -116,20 +128,37 @@ def shared_folder(spark: SparkSession) -> str:
 _local_folder: str | None = None
 
 
+class StoredTradeTables(TradeTables):
+    """Trade tables whose joined lines are written once, since five tables of the mart read them."""
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        target = f"{self.root}/source_lines"
+        overwrite(super().lines, target)
+        return self.spark.read.parquet(target)
+
+
 class PublishedMart:
     """The mart as written tables; the same attributes as ``Tables``."""
 
-    def __init__(self, lazy: Tables, root: str):
-        self.lazy = lazy
+    def __init__(self, src: TradeTables, root: str):
+        self.src = src
         self.root = root
-        self.spark = lazy.product.sparkSession
+        self.spark = src.spark
 
     def publish(self, name: str) -> DataFrame:
         path = f"{self.root}/{TABLE_NAMES[name]}"
         date_col, sort_cols, by_day = LAYOUT.get(name, (None, [], False))
-        swap_overwrite(getattr(self.lazy, name), path, date_col, sort_cols, by_day)
+        swap_overwrite(self.frame(name), path, date_col, sort_cols, by_day)
         return self.spark.read.parquet(current_path(self.spark, path))
 
+    def frame(self, name: str) -> DataFrame:
+        """What a mart table is written from. The snapshot reads the published movements."""
+        if name == "snapshot":
+            landed = raw_snapshot(self.src, self.movement)
+            return mart.fact_snapshot(staging.stg_snapshot(landed))
+        return mart_frame(self.src, name)
+
     @cached_property
     def movement(self) -> DataFrame:
         return self.publish("movement")
@@ -189,14 +218,12 @@ def _state_of(spark: SparkSession, path: str) -> str:
 _published: dict[tuple[str, str, str], PublishedMart] = {}
 
 
-def published_mart(
-    spark: SparkSession, path: str, source: Callable[[SparkSession, str], TradeTables] = TradeTables
-) -> PublishedMart:
+def published_mart(spark: SparkSession, path: str) -> PublishedMart:
     """The mart of one source directory, published at most once per application."""
     state = _state_of(spark, path)
     key = (spark.sparkContext.applicationId, path, state)
     if key not in _published:
         digest = hashlib.sha256(path.encode()).hexdigest()[:12]
         root = f"{shared_folder(spark)}/stocklens/{key[0]}/{digest}-{state}"
-        _published[key] = PublishedMart(lazy_mart(source(spark, path)), root)
+        _published[key] = PublishedMart(StoredTradeTables(spark, path, root), root)
     return _published[key]

@@ -56,9 +56,16 @@ class TradeTables:
 
     spark: SparkSession
     path: str
+    root: str = ""  # where derived tables may be written
+
+    @cached_property
+    def _opened(self) -> dict[str, DataFrame]:
+        return {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._opened[name]
 
     @cached_property
     def lines(self) -> DataFrame:
