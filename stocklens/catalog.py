@@ -67,7 +67,7 @@ def _mart(name: str, build: Callable[[PublishedMart], DataFrame], sql: str | Non
 
 
 def _source(name: str, build: Callable[[TradeTables], DataFrame], sql: str | None) -> None:
-    _add(name, lambda spark, path: build(TradeTables(_utc(spark), path)), sql)
+    _add(name, lambda spark, path: build(published_mart(_utc(spark), path).src), sql)
 
 
 def _panel(name, build, sql, *variants: tuple[str, Filters]) -> None:
@@ -285,7 +285,8 @@ def _register_b_c() -> None:
           coalesce(try_cast(created_at AS timestamp), TIMESTAMP '1970-01-01') AS created_at
         FROM raw_skus"""))
     _source("b11_calendar_full_names", lambda s: staging.calendar(
-        s.spark, AS_OF - timedelta(days=800), 861, full_day_names=True), ol.calendar_full_names())
+        staging.days_around(s.sales_orders, "order_date"), full_day_names=True),
+        ol.calendar_full_names())
     _source("b12_staging_counts", lambda s: staging.layer_counts(
         {n: staged_frame(s, n) for n in STAGING_TABLES}), ol.counts_row(list(names.values())))
     for i, (field, table) in enumerate(TABLE_NAMES.items(), 1):
@@ -304,8 +305,7 @@ def conformed(src: TradeTables) -> DataFrame:
 
 def _view(name: str, build: Callable[[TradeTables, PublishedMart], DataFrame], sql: str) -> None:
     """A reporting view over operational tables with the published dimensions."""
-    _add(name, lambda spark, path: build(
-        TradeTables(_utc(spark), path), published_mart(spark, path)), sql)
+    _mart(name, lambda t: build(t.src, t), sql)
 
 
 def _register_d() -> None:

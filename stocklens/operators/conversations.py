@@ -42,18 +42,23 @@ _WORD = r"[\p{L}\p{N}_]"
 
 
 def list_conversations(msgs: DataFrame, limit: int = 20, offset: int = 0) -> DataFrame:
-    """Conversations, the most recent first, with their first message."""
-    return (
+    """Conversations, the most recent first, with their first message.
+
+    The page is chosen from turns alone; texts are read only for the conversations on it.
+    """
+    recent_first = [F.desc("updated_at"), F.asc(CONV)]
+    page = (
         msgs.groupBy(CONV)
-        .agg(
-            F.min("turn").alias("started_at"),
-            F.max("turn").alias("updated_at"),
-            F.coalesce(F.min_by("message", "turn"), F.lit("")).alias("first_message"),
-        )
-        .orderBy(F.desc("updated_at"), CONV)
+        .agg(F.min("turn").alias("started_at"), F.max("turn").alias("updated_at"))
+        .orderBy(*recent_first)
         .offset(max(offset, 0))
         .limit(max(limit, 0))
-        .select(CONV, "started_at", "first_message")
+    )
+    opening = msgs.select(CONV, F.col("turn").alias("started_at"), "message")
+    return (
+        opening.join(page, [CONV, "started_at"])
+        .orderBy(*recent_first)
+        .select(CONV, "started_at", F.coalesce("message", F.lit("")).alias("first_message"))
     )
 
 

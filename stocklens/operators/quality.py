@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +30,11 @@ ALERT_RULES: list[tuple[str, float, str, str]] = [
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, frames)
+    """Union in halves: a chain would be analysed again with every frame that is added."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return union_all(frames[:half]).unionAll(union_all(frames[half:]))
 
 
 def source_counts(tables: dict[str, DataFrame]) -> DataFrame:

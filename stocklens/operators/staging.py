@@ -154,33 +154,38 @@ def stg_customer(raw: DataFrame, dedupe: bool = True) -> DataFrame:
     return _latest(raw, "customer_id", shaped, dedupe)
 
 
-def calendar(
-    spark: SparkSession, start: date, days: int, full_day_names: bool = False
-) -> DataFrame:
-    """One row per day from ``start``; weekday 1 is Monday."""
+def days_from(spark: SparkSession, start: date, days: int) -> DataFrame:
     day = F.date_add(F.lit(start), F.col("id").cast("int")).alias("full_date")
+    return spark.range(days).select(day)
+
+
+def days_around(facts: DataFrame, date_col: str) -> DataFrame:
+    """The days of the date dimension around the newest day of a fact."""
+    newest = facts.agg(F.max(F.to_date(date_col)).alias("d"))
+    span = F.sequence(F.date_sub("d", DAYS_BEFORE), F.date_add("d", DAYS_AFTER))
+    return newest.select(F.explode(span).alias("full_date"))
+
+
+def calendar(days: DataFrame, full_day_names: bool = False) -> DataFrame:
+    """Calendar attributes of days; weekday 1 is Monday."""
     weekday = F.weekday("full_date") + 1
-    return (
-        spark.range(days)
-        .select(day)
-        .select(
-            F.date_format("full_date", "yyyyMMdd").cast("int").alias("date_key"),
-            "full_date",
-            F.year("full_date").alias("calendar_year"),
-            F.quarter("full_date").alias("calendar_quarter"),
-            F.month("full_date").alias("calendar_month"),
-            F.date_format("full_date", "MMMM").alias("month_name"),
-            F.dayofmonth("full_date").alias("day_of_month"),
-            weekday.alias("day_of_week"),
-            F.date_format("full_date", "EEEE" if full_day_names else "E").alias("day_name"),
-            F.when(weekday >= 6, 1).otherwise(0).alias("is_weekend"),
-        )
+    return days.select(
+        F.date_format("full_date", "yyyyMMdd").cast("int").alias("date_key"),
+        "full_date",
+        F.year("full_date").alias("calendar_year"),
+        F.quarter("full_date").alias("calendar_quarter"),
+        F.month("full_date").alias("calendar_month"),
+        F.date_format("full_date", "MMMM").alias("month_name"),
+        F.dayofmonth("full_date").alias("day_of_month"),
+        weekday.alias("day_of_week"),
+        F.date_format("full_date", "EEEE" if full_day_names else "E").alias("day_name"),
+        F.when(weekday >= 6, 1).otherwise(0).alias("is_weekend"),
     )
 
 
 def dim_date(spark: SparkSession, as_of: date) -> DataFrame:
     start = as_of - timedelta(days=DAYS_BEFORE)
-    return calendar(spark, start, DAYS_BEFORE + DAYS_AFTER + 1)
+    return calendar(days_from(spark, start, DAYS_BEFORE + DAYS_AFTER + 1))
 
 
 def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:

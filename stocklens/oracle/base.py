@@ -230,15 +230,16 @@ CTES: dict[str, str] = {
         "rating": "cast(greatest(rating, 0) AS decimal(4,2))", **_clamped("payment_terms_days")}),
     "customer_dim": _latest(
         "customer_id", "raw_customers", _text("customer_name", "segment", "city", "region")),
-    "dates": f"""
+    "dates": """
     SELECT cast(strftime(d, '%Y%m%d') AS int) AS date_key, d AS full_date,
            cast(year(d) AS int) AS calendar_year, cast(quarter(d) AS int) AS calendar_quarter,
            cast(month(d) AS int) AS calendar_month, monthname(d) AS month_name,
            cast(day(d) AS int) AS day_of_month, cast(isodow(d) AS int) AS day_of_week,
            left(dayname(d), 3) AS day_name,
            cast(CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END AS int) AS is_weekend
-    FROM (SELECT cast(g AS date) AS d
-          FROM generate_series({AS_OF} - 800, {AS_OF} + 60, INTERVAL 1 DAY) s(g)) days""",
+    FROM (SELECT newest - 800 + cast(n AS int) AS d
+          FROM (SELECT max(cast(o_orderdate AS date)) AS newest FROM orders) o,
+               generate_series(0, 860) s(n)) days""",
     "latest": """
     SELECT * FROM snapshot WHERE snapshot_date = (SELECT max(snapshot_date) FROM snapshot)""",
     "aging": """

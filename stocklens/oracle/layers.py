@@ -328,8 +328,7 @@ def snippets() -> str:
 
 
 def calendar_full_names() -> str:
-    return query(f"""SELECT * REPLACE (dayname(full_date) AS day_name) FROM dates
-    WHERE full_date BETWEEN {AS_OF} - 800 AND {AS_OF} + 60""")
+    return query("SELECT * REPLACE (dayname(full_date) AS day_name) FROM dates")
 
 
 def snapshot_zero_opening() -> str:

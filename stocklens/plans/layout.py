@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 POINTER = "_current"
@@ -71,6 +71,8 @@ def replace_window(
     """
     spark = df.sparkSession
     rows = df.filter(F.col(date_col).between(F.lit(first), F.lit(last)))
+    written = Observation()
+    rows = rows.observe(written, F.collect_set(date_col).alias("days"))  # one entry per day
     (
         _arranged(rows, date_col, sort_cols)
         .write.mode("overwrite")
@@ -78,14 +80,14 @@ def replace_window(
         .partitionBy(date_col)
         .parquet(path)
     )
-    stored = {r[0] for r in rows.select(date_col).distinct().collect()}  # at most one per day
+    stored = {str(day) for day in written.get["days"]}
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for n in range((last - first).days + 1):
-        day = date.fromordinal(first.toordinal() + n)
+        day = (first + timedelta(days=n)).isoformat()
         if day not in stored:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{date_col}={day.isoformat()}"), True)
+            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{date_col}={day}"), True)
 
 
 def _file_context(spark: SparkSession, path: str):

@@ -94,7 +94,7 @@ def raw_frame(src: TradeTables, name: str) -> DataFrame:
 
 def staged_frame(src: TradeTables, name: str) -> DataFrame:
     if name == CALENDAR:
-        return staging.dim_date(src.spark, AS_OF)
+        return staging.calendar(staging.days_around(src.sales_orders, "order_date"))
     raw, clean = STAGED[name]
     return clean(raw_frame(src, raw))
 

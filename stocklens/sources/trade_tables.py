@@ -332,5 +332,5 @@ class TradeTables:
 
 def sample_shelf_rule() -> dict[str, Column]:
     """Reserved, damaged and in-transit quantities of the sample data, from the SKU number."""
-    k = F.regexp_extract("sku_id", r"(\d+)$", 1).cast("bigint")
+    k = F.substring_index("sku_id", "_", -1).cast("bigint")
     return {"reserved_qty": k % 8, "damaged_qty": k % 3, "in_transit_qty": k % 12}

@@ -16,6 +16,10 @@ def make_session(cpus: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Local inputs are small: small splits, row groups and shuffle targets use all cores.
+        .config("spark.sql.files.openCostInBytes", "262144")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+        .config("spark.hadoop.parquet.block.size", str(1 << 20))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

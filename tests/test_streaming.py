@@ -6,9 +6,10 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stocklens.catalog import movement_totals
+from stocklens.operators.staging import stg_transactions
 from stocklens.plans.layout import read_current
 from stocklens.sources import topics
-from stocklens.streaming.landing import start_landing, start_rejects, stream_refresh
+from stocklens.streaming.landing import start_landing, start_rejects, stream_append, stream_refresh
 
 NOW = datetime(2001, 8, 1, 6)
 TOPIC = "inventory_topic"
@@ -74,3 +75,18 @@ def test_refresh_after_every_batch(spark, tmp_path):
     totals = read_current(spark, mart)
     assert totals.agg(F.sum("movement_count")).first()[0] == 3
     assert totals.agg(F.sum("net_qty_change")).first()[0] == (1 - 3) + (2 - 3) + (5 - 3)
+
+
+def test_append_equals_a_full_refresh(spark, tmp_path):
+    raw, fact = str(tmp_path / "raw"), str(tmp_path / "fact")
+    for i in range(3):
+        put(tmp_path, f"{i}.json", line(i), line(i + 3))
+        run(spark, tmp_path)
+        stream = spark.readStream.schema(spark.read.parquet(raw).schema).parquet(raw)
+        stream_append(
+            stream, stg_transactions, fact, str(tmp_path / "fact-checkpoint"), "event_date", None
+        ).awaitTermination()
+    whole = stg_transactions(spark.read.parquet(raw))
+    appended = spark.read.parquet(fact).select(*whole.columns)
+    assert sorted(appended.collect()) == sorted(whole.collect())
+    assert appended.count() == 6
