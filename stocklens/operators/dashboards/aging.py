@@ -27,12 +27,11 @@ def aging_base(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
 
     A pair that never moved takes the snapshot date as its last movement.
     """
-    moves = t.movement.groupBy(*PAIR).agg(F.max("event_date").alias("moved"))
-    last = F.coalesce("moved", "snapshot_date")
+    last = F.coalesce("last_event_date", "snapshot_date")
     return (
         with_dims(t.latest_snapshot(), t, f, ALL)
         .filter(F.col("available_qty") > 0)
-        .join(moves, PAIR, "left")
+        .join(t.last_moves(), PAIR, "left")
         .select(
             *PAIR, "available_qty", "damaged_qty", "in_transit_qty", "inventory_value",
             last.alias("last_movement_date"),

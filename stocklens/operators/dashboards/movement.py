@@ -82,19 +82,12 @@ def top_movers(t: Tables, f: Filters, as_of: date) -> DataFrame:
     )
 
 
-def last_moves(t: Tables, *keys: str) -> DataFrame:
-    return t.movement.groupBy(*keys).agg(F.max("event_date").alias("last_event_date"))
-
-
 def slow_movers(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
     """Stocked pairs by days since their last movement; it ranks, it does not filter.
 
     A pair that never moved counts zero days.
     """
-    moves = t.movement.filter(
-        chosen("warehouse_id", f.warehouse) & chosen("sku_id", f.sku)
-    )
-    moves = moves.groupBy(*PAIR).agg(F.max("event_date").alias("last_event_date"))
+    moves = t.last_moves().filter(chosen("warehouse_id", f.warehouse) & chosen("sku_id", f.sku))
     stock = with_dims(t.latest_snapshot(), t, f, ALL, ["sku_name", "category"])
     per_pair = stock.groupBy("snapshot_date", *PAIR, "sku_name", "category").agg(
         sum_long("available_qty").alias("available_qty"),
@@ -128,9 +121,10 @@ def idle_skus(t: Tables, as_of: date) -> DataFrame:
         sum_money("inventory_value").alias("inventory_value"),
     )
     last = F.col("last_event_date")
+    moves = t.last_moves().groupBy("sku_id").agg(F.max(last).alias("last_event_date"))
     top = (
         stock.filter(F.col("available_qty") > 0)
-        .join(last_moves(t, "sku_id"), "sku_id", "left")
+        .join(moves, "sku_id", "left")
         .filter(last.isNull() | (last < F.lit(as_of - timedelta(days=30))))
         .orderBy(F.desc("inventory_value"), F.desc("available_qty"), "sku_id")
         .limit(20)

@@ -18,28 +18,34 @@ def build_snapshot(
     as_of: date,
     days_back: int | None = DEFAULT_DAYS,
     shelf_rule: dict[str, Column] | None = None,
-    opening: str = "zero",
+    opening: str | DataFrame = "zero",
 ) -> DataFrame:
     """Dense daily stock per warehouse and SKU over ``[as_of - days_back, as_of]``.
 
     ``opening="zero"`` starts every balance at zero and lists the pairs that moved inside the
-    window; ``opening="history"`` carries the balance of all earlier movements in.
+    window; ``opening="history"`` carries the balance of all earlier movements in. A frame of
+    balances (``closing_balances`` of the day before the window) gives the same as the history
+    without reading it.
     ``shelf_rule`` gives reserved, damaged and in-transit quantities as columns.
 
     Movements are summed per day on the map side before they are shuffled, so a hot pair holds
     at most one row per day of the window. The balance after each of these days lasts until the
     next one; the days in between are filled in from that range, without a grid to join.
     """
-    if opening not in ("zero", "history"):
+    carried = isinstance(opening, DataFrame)
+    if not carried and opening not in ("zero", "history"):
         raise ValueError(f"unknown opening: {opening}")
     days = days_back if days_back is not None and days_back >= MIN_DAYS else DEFAULT_DAYS
     first, last = F.lit(as_of - timedelta(days=days)), F.lit(as_of)
     day = F.to_date("event_time")
-    window = tx.filter(day <= last)
-    if opening == "zero":
-        window = window.filter(day >= first)
+    moves = tx.filter(day <= last).select(*PAIR, day.alias("day"), "qty_change")
+    if opening != "history":
+        moves = moves.filter(F.col("day") >= first)
+    if carried:
+        start = opening.select(*PAIR, F.date_sub(first, 1).alias("day"), "balance")
+        moves = moves.unionByName(start.withColumnRenamed("balance", "qty_change"))
     # Everything before the window counts as one movement on the day before it.
-    net = window.groupBy(*PAIR, F.greatest(day, F.date_sub(first, 1)).alias("day")).agg(
+    net = moves.groupBy(*PAIR, F.greatest("day", F.date_sub(first, 1)).alias("day")).agg(
         F.sum("qty_change").alias("net")
     )
     by_day = Window.partitionBy(*PAIR).orderBy("day")
@@ -88,6 +94,17 @@ def build_snapshot(
     )
 
 
+def closing_balances(tx: DataFrame, day: date, earlier: DataFrame | None = None) -> DataFrame:
+    """Signed balance of every pair at the end of a day.
+
+    ``earlier`` is an older result; then ``tx`` holds the movements since, and nothing older.
+    """
+    moves = tx.filter(F.to_date("event_time") <= F.lit(day)).select(*PAIR, "qty_change")
+    if earlier is not None:
+        moves = moves.unionByName(earlier.withColumnRenamed("balance", "qty_change"))
+    return moves.groupBy(*PAIR).agg(F.sum("qty_change").alias("balance"))
+
+
 def _by_true_type() -> list[Column]:
     kind, q = F.col("event_type"), F.col("qty_change")
 

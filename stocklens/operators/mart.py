@@ -32,6 +32,10 @@ class Tables:
         """
         return latest_rows(self.snapshot)
 
+    def last_moves(self) -> DataFrame:
+        """Date of the last movement of every warehouse and SKU."""
+        return last_moves(self.movement)
+
 
 # Field of Tables -> mart table name.
 TABLE_NAMES: dict[str, str] = {
@@ -57,6 +61,11 @@ def latest_rows(snapshot: DataFrame) -> DataFrame:
     return snapshot.filter(F.col("snapshot_date") == newest)
 
 
+def last_moves(movement: DataFrame) -> DataFrame:
+    newest = F.max("event_date").alias("last_event_date")
+    return movement.groupBy("warehouse_id", "sku_id").agg(newest)
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project a staged frame onto the declared columns and types of a mart table."""
     pairs = [column.split(" ", 1) for column in MART[table].split(", ")]

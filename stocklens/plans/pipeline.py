@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stocklens.functions import timestamp_lit
 from stocklens.operators import mart, staging
 from stocklens.operators.derive import build_snapshot
-from stocklens.operators.mart import TABLE_NAMES, Tables, latest_rows
+from stocklens.operators.mart import TABLE_NAMES, Tables, last_moves, latest_rows
 from stocklens.plans.layout import current_path, overwrite, swap_overwrite
 from stocklens.sources.trade_tables import AS_OF, INGESTED, TradeTables, sample_shelf_rule
 
@@ -202,6 +202,16 @@ class PublishedMart:
     def latest_snapshot(self) -> DataFrame:
         return latest_rows(self.snapshot)
 
+    @cached_property
+    def _last_moves(self) -> DataFrame:
+        path = f"{self.root}/last_movement"
+        swap_overwrite(last_moves(self.movement), path)
+        return self.spark.read.parquet(current_path(self.spark, path))
+
+    def last_moves(self) -> DataFrame:
+        """As in ``Tables``, but rolled up once: aging panels need not scan all movements."""
+        return self._last_moves
+
 
 def _state_of(spark: SparkSession, path: str) -> str:
     """Names, sizes and times of the source files: a changed source is read again."""

@@ -61,6 +61,22 @@ def test_snapshot_equals_a_day_by_day_walk(spark, moves, opening):
     assert got == brute(moves, {"A", "B"}, 7, opening)
 
 
+def test_carried_balances_equal_the_history(spark):
+    moves = [(days_ago(n), w, s, q) for n, w, s, q in (
+        (40, "W1", "A", 9), (30, "W1", "A", -12), (12, "W2", "B", 4), (8, "W1", "A", 1),
+        (7, "W1", "A", 5), (2, "W2", "A", 3))]
+    tx, skus = frame(spark, moves), costs(spark, "A", "B")
+    month_ago = derive.closing_balances(tx, days_ago(30))
+    since_then = tx.filter(F.to_date("event_time") > F.lit(days_ago(30)))
+    before = derive.closing_balances(since_then, days_ago(8), month_ago)
+    assert {(r.warehouse_id, r.sku_id): r.balance for r in before.collect()} == {
+        ("W1", "A"): -2, ("W2", "B"): 4}
+    recent = tx.filter(F.to_date("event_time") >= F.lit(days_ago(7)))
+    whole = derive.build_snapshot(tx, skus, TODAY, 7, opening="history")
+    carried = derive.build_snapshot(recent, skus, TODAY, 7, opening=before)
+    assert sorted(carried.collect()) == sorted(whole.collect()) and whole.count() == 24
+
+
 def test_short_windows_become_the_default(spark):
     tx = frame(spark, [(days_ago(1), "W1", "A", 5)])
     assert derive.build_snapshot(tx, costs(spark, "A"), TODAY, 3).count() == 121
