@@ -36,6 +36,7 @@ from stocklens.plans.pipeline import (
     shared_folder,
     staged_frame,
 )
+from stocklens.schemas import MESSAGES
 from stocklens.sources import extract, topics
 from stocklens.sources.trade_tables import AS_OF, INGESTED, NOW, TradeTables
 from stocklens.streaming.landing import start_landing, start_rejects, stream_refresh
@@ -159,13 +160,17 @@ def stream_events(src: TradeTables) -> str:
     return folder
 
 
+RAW_EVENTS = MESSAGES["inventory_topic"] + ", ingestion_time timestamp"
+
+
 def stream_landing(src: TradeTables) -> DataFrame:
-    landed_rows = src.spark.read.parquet(f"{stream_events(src)}/raw")
-    return landed_rows.drop("month")
+    folder = stream_events(src)
+    return src.spark.read.schema(RAW_EVENTS).parquet(f"{folder}/raw").drop("month")
 
 
 def stream_rejects(src: TradeTables) -> DataFrame:
-    return src.spark.read.parquet(f"{stream_events(src)}/rejects")
+    folder = stream_events(src)
+    return src.spark.read.schema("topic string, message string").parquet(f"{folder}/rejects")
 
 
 def movement_totals(raw: DataFrame) -> DataFrame:
@@ -180,10 +185,10 @@ def refreshed_totals(src: TradeTables) -> DataFrame:
     """Mart totals that a stream over the raw table rebuilds after every batch."""
     spark, folder = src.spark, stream_events(src)
     raw = f"{folder}/raw"
-    stored = spark.read.parquet(raw)
-    stream = spark.readStream.schema(stored.schema).parquet(raw)
+    stream = spark.readStream.schema(RAW_EVENTS).parquet(raw)
     stream_refresh(
-        stream, lambda _: movement_totals(spark.read.parquet(raw)), f"{folder}/totals",
+        stream, lambda _: movement_totals(spark.read.schema(RAW_EVENTS).parquet(raw)),
+        f"{folder}/totals",
         f"{folder}/totals-checkpoint", every_seconds=None,
     ).awaitTermination()
     return read_current(spark, f"{folder}/totals")

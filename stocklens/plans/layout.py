@@ -8,6 +8,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 POINTER = "_current"
 
@@ -154,5 +155,7 @@ def current_path(spark: SparkSession, path: str) -> str:
     return f"{path}/{held[0]}"
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(current_path(spark, path))
+def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The table as its readers see it. A declared schema also reads a table without rows."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(current_path(spark, path))

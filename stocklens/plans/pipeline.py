@@ -18,7 +18,7 @@ from stocklens.functions import timestamp_lit
 from stocklens.operators import mart, staging
 from stocklens.operators.derive import build_snapshot
 from stocklens.operators.mart import TABLE_NAMES, Tables, last_moves, latest_rows
-from stocklens.plans.layout import current_path, overwrite, swap_overwrite
+from stocklens.plans.layout import overwrite, read_current, swap_overwrite, with_month
 from stocklens.sources.trade_tables import AS_OF, INGESTED, TradeTables, sample_shelf_rule
 
 SNAPSHOT_DAYS = 7
@@ -134,8 +134,9 @@ class StoredTradeTables(TradeTables):
     @cached_property
     def lines(self) -> DataFrame:
         target = f"{self.root}/source_lines"
-        overwrite(super().lines, target)
-        return self.spark.read.parquet(target)
+        joined = super().lines
+        overwrite(joined, target)
+        return self.spark.read.schema(joined.schema).parquet(target)
 
 
 class PublishedMart:
@@ -149,8 +150,11 @@ class PublishedMart:
     def publish(self, name: str) -> DataFrame:
         path = f"{self.root}/{TABLE_NAMES[name]}"
         date_col, sort_cols, by_day = LAYOUT.get(name, (None, [], False))
-        swap_overwrite(self.frame(name), path, date_col, sort_cols, by_day)
-        return self.spark.read.parquet(current_path(self.spark, path))
+        frame = self.frame(name)
+        swap_overwrite(frame, path, date_col, sort_cols, by_day)
+        by_month = date_col is not None and not by_day
+        schema = with_month(frame, date_col).schema if by_month else frame.schema
+        return read_current(self.spark, path, schema)
 
     def frame(self, name: str) -> DataFrame:
         """What a mart table is written from. The snapshot reads the published movements."""
@@ -205,8 +209,9 @@ class PublishedMart:
     @cached_property
     def _last_moves(self) -> DataFrame:
         path = f"{self.root}/last_movement"
-        swap_overwrite(last_moves(self.movement), path)
-        return self.spark.read.parquet(current_path(self.spark, path))
+        moves = last_moves(self.movement)
+        swap_overwrite(moves, path)
+        return read_current(self.spark, path, moves.schema)
 
     def last_moves(self) -> DataFrame:
         """As in ``Tables``, but rolled up once: aging panels need not scan all movements."""

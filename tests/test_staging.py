@@ -82,7 +82,7 @@ def test_latest_warehouse_by_parsed_date(spark):
 version = st.tuples(st.sampled_from("ab"), st.integers(0, 3), st.sampled_from("xyz"))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(version, min_size=1, max_size=12), st.randoms())
 def test_latest_is_idempotent_and_ignores_order(spark, versions, random):
     schema = "k string, ts int, v string"
