@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, quality_rules, simhash
+from . import bpe, pii, quality_rules, simhash
 
 QUERIES = {
+    "op6_information_sanitised": pii.op6_information_sanitised,
     "op7_host_quality_rules": quality_rules.op7_host_quality_rules,
     "op9_simhash_components": simhash.op9_simhash_components,
     "op10_bpe_tree": bpe.op10_bpe_tree,
