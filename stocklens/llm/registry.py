@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, pii, quality_rules, simhash
+from . import bpe, mixing, pii, quality_rules, sharding, simhash
 
 QUERIES = {
+    "op2_feistel_shards": sharding.op2_feistel_shards,
     "op1_soft_mixture": mixing.op1_soft_mixture,
     "op6_information_sanitised": pii.op6_information_sanitised,
     "op7_host_quality_rules": quality_rules.op7_host_quality_rules,
