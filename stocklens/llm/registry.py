@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, pii, quality_rules, sharding, simhash
+from . import bpe, mixing, pii, quality_rules, sharding, simhash, topk
 
 QUERIES = {
+    "op8_tiled_top_k": topk.op8_tiled_top_k,
     "op2_feistel_shards": sharding.op2_feistel_shards,
     "op1_soft_mixture": mixing.op1_soft_mixture,
     "op6_information_sanitised": pii.op6_information_sanitised,
@@ -12,4 +13,6 @@ QUERIES = {
     "op9_simhash_components": simhash.op9_simhash_components,
     "op10_bpe_tree": bpe.op10_bpe_tree,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_tiled_top_k": topk.OP8_SQL,
+}
