@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, html_text, mixing, pii, quality_rules, sharding, simhash, topk
+from . import bpe, html_text, mixing, pii, quality_classifier, quality_rules, sharding, simhash, topk
 
 QUERIES = {
+    "op4_subword_quality": quality_classifier.op4_subword_quality,
     "op3_page_differencing": html_text.op3_page_differencing,
     "op8_tiled_top_k": topk.op8_tiled_top_k,
     "op2_feistel_shards": sharding.op2_feistel_shards,
