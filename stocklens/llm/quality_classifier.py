@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
-Each word and each run of three and of four characters of a text is hashed to one of ``BUCKETS``
-learned vectors; a document is the mean of its vectors, and a softmax layer gives its classes.
+Each word, each pair of neighbouring words and each run of three and of four characters of a text
+is hashed to one of ``BUCKETS`` learned vectors; a document is the mean of its vectors, and a
+softmax layer gives its classes.
 Vectors and layer are learned together by stochastic gradient descent in numpy, document by document.
 
 Fitting: at most ``SAMPLE`` labelled documents outside the held-out fold (the first by hash of
@@ -43,7 +44,8 @@ MIX = (2654435761, 2246822519, 3266489917, 668265263, 374761393)
 
 
 def buckets_of(text: str) -> np.ndarray:
-    """Bucket of each word, each three and each four neighbouring characters of a text."""
+    """Bucket of each word, each pair of neighbouring words, and each three and four neighbouring
+    characters of a text."""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
     if not len(points):
         return np.empty(0, np.uint32)
@@ -66,7 +68,10 @@ def buckets_of(text: str) -> np.ndarray:
     back = np.full(len(points), inverse, np.uint32)
     back[0] = 1
     back = np.multiply.accumulate(back, dtype=np.uint32)
-    found.append((sums[ends] - sums[starts]) * back[starts] * e + np.uint32(2))
+    words = (sums[ends] - sums[starts]) * back[starts]
+    found.append(words * e + np.uint32(2))
+    # A pair of words is hashed by difference: all words that repeat their neighbour are one pair.
+    found.append((words[1:] - words[:-1]) * e + np.uint32(3))
     mixed = np.concatenate(found)
     mixed ^= mixed >> np.uint32(15)
     return (mixed * d) >> np.uint32(32 - BITS)
