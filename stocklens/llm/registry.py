@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, html_text, mixing, pii, quality_classifier, quality_rules, sharding, simhash, topk
+import corpus_pipeline
+
+from . import bpe, html_text, mixing, pii, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, topk
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op5_bucket_refined_repeats": suffix_dedup.op5_bucket_refined_repeats,
     "op4_subword_quality": quality_classifier.op4_subword_quality,
     "op3_page_differencing": html_text.op3_page_differencing,
     "op8_tiled_top_k": topk.op8_tiled_top_k,
@@ -16,5 +20,6 @@ QUERIES = {
     "op10_bpe_tree": bpe.op10_bpe_tree,
 }
 ORACLES: dict[str, str] = {
+    **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     "op8_tiled_top_k": topk.OP8_SQL,
 }

@@ -143,7 +143,8 @@ def links(prints: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
 
 
 def with_components(prints: DataFrame, key: str, print_: str = "print") -> DataFrame:
-    """``prints`` (a written table) with ``component_id``, the smallest key of the component."""
+    """``prints`` (a written table) with ``component`` (its least fingerprint) and ``component_id``,
+    the smallest key of the component."""
     nodes = settle(
         prints.groupBy(F.col(print_).alias("print")).agg(F.min(key).alias("first")), "nodes"
     )
@@ -157,7 +158,8 @@ def with_components(prints: DataFrame, key: str, print_: str = "print") -> DataF
         members.groupBy("component").agg(F.min("first").alias("component_id")), "names"
     )
     named = settle(
-        members.join(names, "component").select(F.col("print").alias("p__"), "component_id"), "named"
+        members.join(names, "component").select(F.col("print").alias("p__"), "component", "component_id"),
+        "named",
     )
     return prints.join(named, F.col(print_) == F.col("p__")).drop("p__")
 
@@ -177,5 +179,24 @@ def near_duplicates(
     )
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+    """One row of each component: that of the smallest key (null last), then of the least text hash.
+    Columns stay as they are. Of rows equal in key and text any one stays."""
+    row = [F.col(key).alias("k"), F.xxhash64(text_column(docs, text)).alias("h")]
+    prints = settle(docs.select(*row, fingerprints(docs, text, width).alias("print")), "prints")
+    order = F.struct(F.col("k").isNull().alias("last"), "k", "h")
+    chosen = settle(
+        with_components(prints, "k").groupBy("component").agg(
+            F.min(order).alias("one"), F.count("*").alias("rows")
+        ).select(F.col("one.k").alias("k__"), F.col("one.h").alias("h__"), (F.col("rows") > 1).alias("several__")),
+        "chosen",
+    )
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), *row)
+    found = packed.join(chosen, F.col("k").eqNullSafe(F.col("k__")) & (F.col("h") == F.col("h__")))
+    once = found.where("not several__").select("d")
+    again = found.where("several__").dropDuplicates(["k", "h"]).select("d")
+    return once.union(again).select(*(F.col(f"d.`{c}`").alias(c) for c in docs.columns))
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
