@@ -43,10 +43,11 @@ from .common import settle, table, text_column
 
 SAMPLE = 20_000
 VOCABULARY = 64
+COMMON = 0.01  # share of the sample that a word of the vocabulary is in, at least
 STEPS = 25
 TOLERANCE = 1e-5  # of the target total
-SYMBOLS = "#*$%&|<>!"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SYMBOLS = "[#*$%&|<>!]"
+CAPITALS = "[A-Z]"
 #: Upper bounds of the shapes' bins; values beyond the last have a bin of their own.
 BINS = {
     "length": (20.0, 50.0, 200.0, 1000.0),
@@ -83,18 +84,19 @@ def domain_of_labels() -> Column:
 
 
 def features(docs: DataFrame, keep: Sequence[Column], text: str) -> DataFrame:
-    """``keep``, tokens, ``words`` (the different ones) and the bin of each shape."""
-    count = lambda chars: F.length("t") - F.length(F.translate("t", chars, ""))
+    """``keep``, tokens, ``words`` (the different ones) and the bin of each shape. Words end at blanks
+    and line ends only: punctuation and case are part of a word, and of what it tells."""
+    share = lambda chars: F.regexp_count("t", F.lit(chars)) / F.greatest(F.length("t"), F.lit(1))
     split = docs.select(*keep, text_column(docs, text).alias("t")).withColumn(
-        "all", F.array_remove(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), "")
+        "all", F.array_remove(F.split(F.replace("t", F.lit("\n"), F.lit(" ")), " "), "")
     )
     kept = split.columns[: len(keep)]
     sized = split.select(
         *(F.col(f"`{c}`") for c in kept),
         F.size("all").cast("long").alias("tokens"),
         F.array_distinct("all").alias("words"),
-        (count(SYMBOLS) / F.greatest(F.length("t"), F.lit(1))).alias("symbols"),
-        (count(CAPITALS) / F.greatest(F.length("t"), F.lit(1))).alias("capitals"),
+        share(SYMBOLS).alias("symbols"),
+        share(CAPITALS).alias("capitals"),
     )
     value = {
         "length": F.col("tokens").cast("double"),
@@ -172,7 +174,7 @@ def fit(
         ],
     )
     best = (
-        counted.where(found >= 5).withColumn("told", told)
+        counted.where(found >= max(5, size * COMMON)).withColumn("told", told)
         .orderBy(F.desc("told"), "word").limit(VOCABULARY).collect()
     )
     best.sort(key=lambda r: r["word"])
@@ -230,46 +232,72 @@ def fit_steps(members: DataFrame, targets: Targets) -> tuple[list[np.ndarray], n
         longer = min(max((length or 0.0) / bend, 1.0), 1e3) if bend > 0 else 1.0
         reached = after
         best = min(best, (far(reached), len(steps), reached), key=lambda b: b[:2])
-        if not length:  # nothing moves: the targets cannot be met, this is the nearest point
-            break
+        if len(steps) - best[1] > 3 or (length or 0.0) < 1e-9 * goal.sum():
+            break  # nothing moves any more: the targets cannot be met, the best point is the nearest
     return steps[: best[1]], goal, best[2]
 
 
+def fitted(
+    docs: DataFrame, labels: DataFrame, targets: Targets, keep: Sequence[Column], domain: Column | None,
+    key: str, text: str,
+) -> tuple[DataFrame, list[Column], Column]:
+    """``keep``, tokens and posteriors of every row as a written table; the posteriors and the rate
+    as columns for any frame of ``features``."""
+    domain = domain_of_labels() if domain is None else domain
+    p = [x.alias(f"p_{i}") for i, x in enumerate(fit(docs, labels, domain, targets, key, text).posteriors())]
+    found = features(docs, keep, text)
+    members = settle(found.select(*found.columns[: len(keep)], "tokens", *p), "members")
+    steps, _, _ = fit_steps(members, targets)
+    return members, p, rate([F.col(f"p_{i}") for i in range(len(p))], steps)
+
+
+def draw_of(key: str, text: str) -> Column:
+    """A fixed number from 0 to 1 by key and text. A rate plus this, rounded down, is on average the
+    rate: the number of copies."""
+    return F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
+
+
+def copies(rate_: Column, draw: Column) -> Column:
+    return F.floor(rate_ + draw).cast("int")
+
+
 def mixed(
-    docs: DataFrame, labels: DataFrame, targets: Targets = Targets(), domain: Column | None = None,
-    key: str = "doc_id", text: str = "text",
+    docs: DataFrame, labels: DataFrame, targets: Targets = Targets(), keep: tuple[str, ...] = ("doc_id",),
+    domain: Column | None = None, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """``d`` (struct of all columns), tokens, p_0, ..., rate and copies of every row.
-
-    ``copies`` rounds the rate up or down by a fixed draw from the row's key and text, so that its
-    expectation is the rate. The documents' posteriors are settled without their texts for
-    the fit, and computed again in the pass that returns the rows: no text is shuffled."""
-    domain = domain_of_labels() if domain is None else domain
-    model = fit(docs, labels, domain, targets, key, text)
-    p = [x.alias(f"p_{i}") for i, x in enumerate(model.posteriors())]
-    steps, _, _ = fit_steps(settle(features(docs, [], text).select("tokens", *p), "members"), targets)
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d")
-    draw = F.pmod(F.xxhash64(F.col("d")[key], F.col("d")[text]), F.lit(1 << 30)) / float(1 << 30)
-    found = features(docs, [row], text).select("d", "tokens", *p)
-    return found.withColumn("rate", rate([F.col(f"p_{i}") for i in range(len(p))], steps)).withColumn(
-        "copies", F.floor(F.col("rate") + draw).cast("int")
+    """``keep``, tokens, p_0, ..., rate and copies of every row, without the texts."""
+    columns = [F.col(f"`{c}`").alias(c) for c in keep]
+    columns.append(draw_of(key, text).alias("draw__"))
+    members, _, rate_ = fitted(docs, labels, targets, columns, domain, key, text)
+    return members.withColumn("rate", rate_).select(
+        *(f"`{c}`" for c in members.columns if c != "draw__"),
+        "rate",
+        copies(F.col("rate"), F.col("draw__")).alias("copies"),
     )
 
 
-def resample(docs: DataFrame, labels: DataFrame, targets: Targets = Targets(), **names) -> DataFrame:
-    """``docs`` with each row as often as its copies say, none for copies 0; same columns."""
-    rows = mixed(docs, labels, targets, **names).where("copies > 0")
-    return rows.select("d", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
-        *(F.col(f"d.`{c}`") for c in docs.columns)
+def resample(
+    docs: DataFrame, labels: DataFrame, targets: Targets = Targets(), domain: Column | None = None,
+    key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """``docs`` with each row as often as its copies say, none for copies 0; same columns. The
+    posteriors are computed again in the pass that returns the rows: no text is shuffled."""
+    _, p, rate_ = fitted(docs, labels, targets, [], domain, key, text)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d")
+    found = features(docs, [row, draw_of(key, text).alias("draw__")], text).select("d", "draw__", *p)
+    often = found.select("d", copies(rate_, F.col("draw__")).alias("copies")).where("copies > 0")
+    return often.select("d", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
+        *(F.col(f"d.`{c}`").alias(c) for c in docs.columns)
     )
 
 
 def op1_soft_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = Targets()
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    rows = mixed(docs, table(spark, sf_dir, "labels"), targets)
+    rows = mixed(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), targets, ("doc_id", "source")
+    )
     return rows.select(
-        "d.doc_id", "d.source", "tokens",
+        "doc_id", "source", "tokens",
         *(F.col(f"p_{i}").alias(f"p_{d}") for i, d in enumerate(targets.domains)),
         "rate", "copies",
     )
