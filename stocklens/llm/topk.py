@@ -8,7 +8,7 @@ merged along a tree: ``FAN`` shards' lists at a time, until one is left. No task
 blocks and one score matrix, or FAN lists of a query.
 
 Order: higher score first, ties to the smaller vec_id. Scores are exact: products run in float64 only
-while all partial sums stay below 2^53, else in 64-bit integers, where a sum that could leave 63
+while all partial sums stay below 2^52, else in 64-bit integers, where a sum that could need more than 62
 bits raises an error instead of being wrong.
 
 Defined results: a vector that is null, or holds a null or non-finite component, takes no part, nor
@@ -87,12 +87,13 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     a, b = a[:, :width], b[:, :width]
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
-    most = int(width) * max(abs(int(a.min())), abs(int(a.max()))) * max(abs(int(b.min())), abs(int(b.max())))
-    if most < 1 << 53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    if most < 1 << 63:
+    x, y = a.astype(np.float64), b.astype(np.float64)
+    most = np.abs(x).sum(1).max() * np.abs(y).max()  # no partial sum is larger
+    if most < 2.0**52:
+        return (x @ y.T).astype(np.int64)
+    if most < 2.0**62:
         return a @ b.T
-    raise OverflowError("a score can need more than 63 bits")
+    raise OverflowError("a score can need more than 62 bits")
 
 
 def one_each(ids: np.ndarray, scores: np.ndarray, axis: int) -> tuple[np.ndarray, np.ndarray]:
