@@ -316,7 +316,7 @@ def _view(name: str, build: Callable[[TradeTables, PublishedMart], DataFrame], s
 def _register_d() -> None:
     _source("d1_daily_snapshot", lambda s: raw_snapshot(s), ol.whole("snapshot"))
     _source("d1_snapshot_zero_opening", lambda s: derive.build_snapshot(
-        conformed(s), s.sku_costs, AS_OF, 30).select(
+        conformed(s), s.sku_costs, AS_OF).select(
         "snapshot_date", "warehouse_id", "sku_id", "on_hand_qty", "inventory_value"),
         ol.snapshot_zero_opening())
     _mart("d2_replace_window", replaced_window, query(

@@ -67,13 +67,15 @@ def ratio_units(a: Column, b: Column, places: int = 2) -> Column:
 
     NULL unless ``b`` is positive.
     """
-    scale = 10**places
-    top = F.abs(a).cast("bigint") * F.lit(2 * scale) + b.cast("bigint")
-    bottom = F.when(b > 0, b.cast("bigint") * F.lit(2))
-    remainder = top % bottom
-    quotient = ((top - remainder) / bottom).cast("bigint")
-    even = quotient - F.when((remainder == 0) & (quotient % 2 == 1), 1).otherwise(0)
-    return F.when(a < 0, -even).otherwise(even)
+    wide = "decimal(38,0)"  # a * 200 can leave a bigint; the quotient does not
+    top = F.abs(a.cast(wide)) * F.lit(2 * 10**places).cast("decimal(5,0)")
+    bottom = F.when(b > 0, b.cast("decimal(20,0)") * F.lit(2))
+    whole = F.call_function("div", top, bottom)
+    rest = top.cast(wide) - (whole.cast("decimal(20,0)") * bottom).cast(wide)
+    twice, odd = rest * F.lit(2), whole % 2 == 1
+    up = (twice > bottom) | ((twice == bottom) & odd)
+    rounded = whole + F.when(up, 1).otherwise(0)
+    return F.when(a < 0, -rounded).otherwise(rounded).cast("bigint")
 
 
 def ratio(a: Column, b: Column, places: int = 2) -> Column:

@@ -63,7 +63,7 @@ CTES: dict[str, str] = {
            END AS event_type,
            CASE l_returnflag WHEN 'A' THEN 2 * q WHEN 'R' THEN q ELSE -2 * q END AS qty_change,
            cast(ship_date AS timestamp) AS event_time, {INGESTED} AS ingestion_time
-    FROM map_line WHERE ship_date <= {AS_OF}""",
+    FROM map_line""",
     "raw_skus": f"""
     SELECT {_dirty('p_partkey', _sku('p_partkey'))} AS sku_id,
            concat(' ', p_name, CASE WHEN v = 2 THEN ' v2' ELSE '' END) AS sku_name,
@@ -125,7 +125,7 @@ CTES: dict[str, str] = {
            cast(10 + l_partkey % 220 + (l_orderkey * 7 + l_partkey) % 7 - 3 AS int) AS counted_qty,
            cast((l_orderkey * 7 + l_partkey) % 7 - 3 AS int) AS variance_qty,
            cast(ship_date AS timestamp) AS created_at, {INGESTED} AS ingestion_time
-    FROM map_line WHERE l_linenumber = 1 AND ship_date <= {AS_OF}""",
+    FROM map_line WHERE l_linenumber = 1""",
     "sales_orders": f"""
     SELECT o_orderkey AS order_id, concat('SO-', cast(o_orderkey AS varchar)) AS order_number,
            concat('CUS-', lpad(cast(o_custkey AS varchar), 6, '0')) AS customer_id,
@@ -170,17 +170,17 @@ CTES: dict[str, str] = {
     FROM clean_tx""",
     "day_grid": f"""
     SELECT cast(d AS date) AS snapshot_date
-    FROM generate_series({AS_OF} - 7, {AS_OF}, INTERVAL 1 DAY) days(d)""",
+    FROM generate_series({AS_OF} - 120, {AS_OF}, INTERVAL 1 DAY) days(d)""",
     "balances": f"""
     SELECT snapshot_date, pairs.warehouse_id, pairs.sku_id,
            sum(coalesce(net.n, 0)) OVER (PARTITION BY pairs.warehouse_id, pairs.sku_id
              ORDER BY snapshot_date ROWS UNBOUNDED PRECEDING) + pairs.opening AS balance
     FROM (SELECT warehouse_id, sku_id,
-                 sum(CASE WHEN event_date < {AS_OF} - 7 THEN qty_change ELSE 0 END) AS opening
-          FROM movement GROUP BY 1, 2) pairs
+                 sum(CASE WHEN event_date < {AS_OF} - 120 THEN qty_change ELSE 0 END) AS opening
+          FROM movement WHERE event_date <= {AS_OF} GROUP BY 1, 2) pairs
     CROSS JOIN day_grid
     LEFT JOIN (SELECT event_date, warehouse_id, sku_id, sum(qty_change) AS n FROM movement
-               WHERE event_date >= {AS_OF} - 7 GROUP BY 1, 2, 3) net
+               WHERE event_date >= {AS_OF} - 120 GROUP BY 1, 2, 3) net
       ON net.event_date = snapshot_date AND net.warehouse_id = pairs.warehouse_id
       AND net.sku_id = pairs.sku_id""",
     "snapshot": f"""

@@ -341,9 +341,9 @@ def snapshot_zero_opening() -> str:
             sum(coalesce(net.n, 0)) OVER (PARTITION BY pairs.warehouse_id, pairs.sku_id
               ORDER BY snapshot_date ROWS UNBOUNDED PRECEDING) AS balance
           FROM (SELECT DISTINCT warehouse_id, sku_id FROM movement
-                WHERE event_date >= {AS_OF} - 30) pairs
+                WHERE event_date BETWEEN {AS_OF} - 120 AND {AS_OF}) pairs
           CROSS JOIN (SELECT cast(d AS date) AS snapshot_date
-                      FROM generate_series({AS_OF} - 30, {AS_OF}, INTERVAL 1 DAY) g(d)) days
+                      FROM generate_series({AS_OF} - 120, {AS_OF}, INTERVAL 1 DAY) g(d)) days
           LEFT JOIN (SELECT event_date, warehouse_id, sku_id, sum(qty_change) AS n FROM movement
                      GROUP BY 1, 2, 3) net
             ON net.event_date = snapshot_date AND net.warehouse_id = pairs.warehouse_id

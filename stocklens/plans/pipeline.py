@@ -21,7 +21,7 @@ from stocklens.operators.mart import TABLE_NAMES, Tables, last_moves, latest_row
 from stocklens.plans.layout import overwrite, read_current, swap_overwrite, with_month
 from stocklens.sources.trade_tables import AS_OF, INGESTED, TradeTables, sample_shelf_rule
 
-SNAPSHOT_DAYS = 7
+SNAPSHOT_DAYS = 120
 
 # Layout per mart table: business date, sort columns, one partition per day or per month.
 LAYOUT: dict[str, tuple[str, list[str], bool]] = {

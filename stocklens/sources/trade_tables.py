@@ -94,7 +94,7 @@ class TradeTables:
         """Stock movements; ``event_type`` is known to the source only."""
         flag, q = F.col("l_returnflag"), F.col("q")
         sold = F.when(F.col("l_linenumber") == 7, "ADJUSTMENT").otherwise("SHIPMENT")
-        return self.lines.filter(F.col("ship_date") <= F.lit(AS_OF)).select(
+        return self.lines.select(
             "warehouse_id",
             _dirty(F.col("l_partkey"), F.col("sku_id")).alias("sku_id"),
             F.when(flag == "A", "RECEIPT").when(flag == "R", "RETURN").otherwise(sold)
@@ -237,9 +237,7 @@ class TradeTables:
     def stock_counts(self) -> DataFrame:
         expected = 10 + F.col("l_partkey") % 220
         gap = (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 7 - 3
-        rows = self.lines.filter(
-            (F.col("l_linenumber") == 1) & (F.col("ship_date") <= F.lit(AS_OF))
-        )
+        rows = self.lines.filter(F.col("l_linenumber") == 1)
         return rows.select(
             F.col("l_orderkey").alias("count_id"),
             F.col("ship_date").alias("count_date"),
