@@ -6,12 +6,16 @@ A message has a conversation, a position in it (``turn``, an integer), a sender
 
 from __future__ import annotations
 
+import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CONV = "conversation_id"
 CHUNK_TURNS = 1024
@@ -38,6 +42,8 @@ NO_INTENT = "help"
 
 # White space as a browser counts it.
 _SPACE = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
+# White space of the context tail: separators U+001C-001F and U+0085 count, U+FEFF does not.
+_STRIP = r"[\t\n\x0B\f\r\x1C-\x1F \u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 _WORD = r"[\p{L}\p{N}_]"
 
 
@@ -57,6 +63,9 @@ def list_conversations(msgs: DataFrame, limit: int = 20, offset: int = 0) -> Dat
     opening = msgs.select(CONV, F.col("turn").alias("started_at"), "message")
     return (
         opening.join(page, [CONV, "started_at"])
+        # Messages of the same position: the least of them, so that a page keeps its size.
+        .groupBy(CONV, "started_at", "updated_at")
+        .agg(F.min("message").alias("message"))
         .orderBy(*recent_first)
         .select(CONV, "started_at", F.coalesce("message", F.lit("")).alias("first_message"))
     )
@@ -96,7 +105,7 @@ def context_tail(msgs: DataFrame, n: int = TAIL_MESSAGES) -> DataFrame:
 
 
 def trim_all(name: str) -> Column:
-    return F.regexp_replace(F.coalesce(name, F.lit("")), rf"^{_SPACE}|{_SPACE}$", "")
+    return F.regexp_replace(F.coalesce(name, F.lit("")), rf"^{_STRIP}|{_STRIP}$", "")
 
 
 def compact(name: str) -> Column:
@@ -116,29 +125,24 @@ def snippets(msgs: DataFrame) -> DataFrame:
     return msgs.select(CONV, "turn", snippet("message").alias("snippet"))
 
 
-def _fold_rule() -> tuple[str, str]:
-    """Characters that compatibility folding turns into one plain character, and those it drops."""
-    plain, folded, dropped = [], [], []
-    for code in range(0x80, 0x10000):
-        char = chr(code)
-        if unicodedata.combining(char):
-            dropped.append(char)
-            continue
-        stripped = "".join(
-            c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
-        ).lower()
-        if len(stripped) == 1 and stripped != char and stripped.isascii():
-            plain.append(char)
-            folded.append(stripped)
-    return "".join(plain + dropped), "".join(folded)
+def _folded(text: Column) -> Column:
+    """Compatibility decomposition, then all marks deleted, in Arrow batches. The function is local,
+    so that it travels to the workers by value, with the table of marks."""
+    marks = {code: None for code in range(sys.maxunicode + 1) if unicodedata.combining(chr(code))}
 
+    @F.arrow_udf(T.StringType())
+    def decompose(texts: pa.Array) -> pa.Array:
+        whole = pc.utf8_normalize(texts, "NFKD").to_pylist()
+        return pa.array([t and t.translate(marks) for t in whole], pa.string())
 
-_FOLD_FROM, _FOLD_TO = _fold_rule()
+    return decompose(text)
 
 
 def fold(name: str) -> Column:
-    """Accent-free lower-case text."""
-    return F.lower(F.translate(F.coalesce(name, F.lit("")), _FOLD_FROM, _FOLD_TO))
+    """Accent-free lower-case text. Only texts beyond ASCII are sent to the decomposition."""
+    text = F.coalesce(F.col(name), F.lit(""))
+    beyond = F.when(text.rlike(r"[^\x00-\x7F]"), text)
+    return F.lower(F.coalesce(_folded(beyond), text))
 
 
 def intent() -> Column:
@@ -172,33 +176,39 @@ def extract_ids(msgs: DataFrame) -> DataFrame:
     )
 
 
-def _drops(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Positions of tail duplicates in rows sorted by conversation, segment and turn.
-
-    The state is the last kept message of the current segment, so memory does not grow.
-    """
-    group, kept_text, kept_at = None, "", None
-    for batch in batches:
-        found = []
-        for row in batch.itertuples(index=False):
-            key = (row.conversation_id, row.segment)
-            at = None if pd.isna(row.sent_seconds) else row.sent_seconds
-            late = (
-                at is not None and kept_at is not None and at - kept_at > TAIL_WINDOW_SECONDS
-            )
-            duplicate = (
-                key == group
-                and not row.has_links
-                and len(row.text) >= MIN_TAIL_CHARS
-                and len(kept_text) > len(row.text) + MIN_TAIL_CHARS
-                and kept_text.endswith(row.text)
-                and not late
-            )
-            if duplicate:
-                found.append((row.conversation_id, row.turn))
-            else:
-                group, kept_text, kept_at = key, row.text, at
-        yield pd.DataFrame(found, columns=["conversation_id", "turn"])
+def _drops() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The walk as a local function: it travels to the workers by value, whatever their path."""
+    window_seconds, min_chars = TAIL_WINDOW_SECONDS, MIN_TAIL_CHARS
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Positions of tail duplicates in rows sorted by conversation, segment and turn.
+
+        The state is the last kept message of the current segment, so memory does not grow.
+        """
+        group, kept_text, kept_at = None, "", None
+        for batch in batches:
+            found = []
+            for row in batch.itertuples(index=False):
+                key = (row.conversation_id, row.segment)
+                at = None if pd.isna(row.sent_seconds) else row.sent_seconds
+                late = (
+                    at is not None and kept_at is not None and at - kept_at > window_seconds
+                )
+                duplicate = (
+                    key == group
+                    and not row.has_links
+                    and len(row.text) >= min_chars
+                    and len(kept_text) > len(row.text) + min_chars
+                    and kept_text.endswith(row.text)
+                    and not late
+                )
+                if duplicate:
+                    found.append((row.conversation_id, row.turn))
+                else:
+                    group, kept_text, kept_at = key, row.text, at
+            yield pd.DataFrame(found, columns=["conversation_id", "turn"])
+
+    return walk
 
 
 def prune_tail_duplicates(msgs: DataFrame) -> DataFrame:
@@ -265,5 +275,5 @@ def prune_tail_duplicates(msgs: DataFrame) -> DataFrame:
         .sortWithinPartitions(CONV, "segment", "turn")
     )
     kinds = {f.name: f.dataType.simpleString() for f in msgs.schema}
-    dropped = rows.mapInPandas(_drops, f"conversation_id {kinds[CONV]}, turn {kinds['turn']}")
+    dropped = rows.mapInPandas(_drops(), f"conversation_id {kinds[CONV]}, turn {kinds['turn']}")
     return msgs.join(dropped, [CONV, "turn"], "left_anti").select(*columns)

@@ -114,3 +114,26 @@ def test_conversation_list(spark):
     assert [(r["conversation_id"], r["first_message"]) for r in out] == [(3, "b"), (1, "first"), (2, "")]
     page = rows(talk.list_conversations(spark.createDataFrame(data, LOG), limit=1, offset=1))
     assert [r["conversation_id"] for r in page] == [1]
+
+
+def test_equal_positions_do_not_double_a_conversation(spark):
+    given_rows = [("c1", 0, "user", "b"), ("c1", 0, "user", "a"), ("c2", 5, "user", "x"), ("c3", 1, "user", None)]
+    msgs = spark.createDataFrame(given_rows, "conversation_id string, turn int, sender string, message string")
+    got = [tuple(r) for r in talk.list_conversations(msgs, limit=2).collect()]
+    assert got == [("c2", 5, "x"), ("c3", 1, "")]
+    assert talk.list_conversations(msgs).count() == 3
+
+
+def test_folding_is_whole(spark):
+    texts = ["\U0001d428\U0001d42f\U0001d41e\U0001d42b\U0001d42f\U0001d422\U0001d41e\U0001d430", "Tổng quan", "ﬁlter overﬂow", None, "plain"]
+    msgs = spark.createDataFrame([(t,) for t in texts], "message string")
+    assert [r[0] for r in msgs.select(talk.fold("message")).collect()] == [
+        "overview", "tong quan", "filter overflow", "", "plain",
+    ]
+
+
+def test_tail_trims_the_separators_and_keeps_the_mark(spark):
+    given_rows = [("c", 0, "user", "\x1c\x85 a \x1f"), ("c", 1, "user", "\ufeffb\ufeff"), ("c", 2, "user", "\x1d \x85")]
+    msgs = spark.createDataFrame(given_rows, "conversation_id string, turn int, sender string, message string")
+    got = [r.content for r in talk.context_tail(msgs).orderBy("turn").collect()]
+    assert got == ["a", "\ufeffb\ufeff"]
