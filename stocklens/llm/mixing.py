@@ -24,8 +24,8 @@ all documents. Everything is DataFrame functions.
 Defined results: null and empty texts have no tokens, count for nothing in the totals and get the
 rate of their posterior; repeated rows get equal rates; labels without a document or without a
 domain are not used; without any usable label the posterior is the target and all rates are 1; an
-empty table gives no rows; a domain that nothing belongs to cannot be met and is left out of the
-fit; further columns are kept and may have any name.
+empty table gives no rows; a domain without labelled documents has posterior 0 and is left out of
+the fit; further columns are kept and may have any name.
 """
 
 from __future__ import annotations
@@ -43,9 +43,12 @@ from .common import settle, table, text_column
 
 SAMPLE = 20_000
 VOCABULARY = 64
-COMMON = 0.01  # share of the sample that a word of the vocabulary is in, at least
+COMMON = 0.02  # share of the sample that a word of the vocabulary is in, at least
+LEAST_BITS = 20  # what a word of the vocabulary tells about the sample's domains, at least
+PRIOR = 2.0  # weight of the pooled rates in a domain's rates
 STEPS = 25
 TOLERANCE = 1e-5  # of the target total
+NEVER = -1e9  # log prior of a domain without labelled documents: its posterior is 0
 SYMBOLS = "[#*$%&|<>!]"
 CAPITALS = "[A-Z]"
 #: Upper bounds of the shapes' bins; values beyond the last have a bin of their own.
@@ -61,7 +64,7 @@ BINS = {
 class Targets:
     """Weights of the domains. The totals are such that ``anchor`` keeps its expected tokens."""
 
-    weights: tuple[tuple[str, float], ...] = (("high", 0.90), ("low", 0.05), ("toxic", 0.05))
+    weights: tuple[tuple[str, float], ...] = (("high", 0.93), ("low", 0.02), ("toxic", 0.05))
     anchor: str = "high"
 
     @property
@@ -121,21 +124,31 @@ class Classifier:
     word_weights: list[list[float]]  # by domain, by word
     bin_weights: dict[str, list[list[float]]]  # by shape, by domain, by bin
 
-    def posteriors(self) -> list[Column]:
-        """Posterior of each domain, from the columns of ``features``."""
+    def posteriors(self, found: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """``keep`` and the posteriors p_0, p_1, ... of a frame of ``features``.
+
+        Each step is a select of its own, so that no score is computed more than once."""
+        kept = [f"`{c}`" for c in keep]
         known = F.array(*[F.lit(w) for w in self.vocabulary]).cast("array<string>")
         held = F.transform(F.array_intersect("words", known), lambda w: F.array_position(known, w).cast("int") - 1)
         scores = []
         for d, prior in enumerate(self.prior):
             weights = F.array(*[F.lit(x) for x in self.word_weights[d]]).cast("array<double>")
-            by_word = F.aggregate(held, F.lit(0.0), partial(_add, weights))
+            by_word = F.aggregate("held__", F.lit(prior), partial(_add, weights))
             by_bin = [
                 F.get(F.array(*[F.lit(x) for x in self.bin_weights[s][d]]), F.col(f"bin_{s}")) for s in BINS
             ]
-            scores.append(reduce(lambda a, b: a + b, by_bin, F.lit(prior) + by_word))
-        top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-        parts = [F.exp(s - top) for s in scores]
-        return [p / reduce(lambda a, b: a + b, parts) for p in parts]
+            scores.append(reduce(lambda a, b: a + b, by_bin, by_word).alias(f"s_{d}"))
+        names = [f"s_{d}" for d in range(len(self.prior))]
+        top = F.array_max(F.array(*names))
+        scored = found.select(*kept, *[f"bin_{s}" for s in BINS], held.alias("held__")).select(*kept, *scores)
+        raised = scored.select(*kept, *names, top.alias("top__")).select(
+            *kept, *[F.exp(F.col(s) - F.col("top__")).alias(s) for s in names]
+        )
+        total = reduce(lambda a, b: a + b, [F.col(s) for s in names])
+        return raised.select(*kept, *names, total.alias("total__")).select(
+            *kept, *[(F.col(s) / F.col("total__")).alias(f"p_{d}") for d, s in enumerate(names)]
+        )
 
 
 def fit(
@@ -174,22 +187,24 @@ def fit(
         ],
     )
     best = (
-        counted.where(found >= max(5, size * COMMON)).withColumn("told", told)
-        .orderBy(F.desc("told"), "word").limit(VOCABULARY).collect()
+        counted.where(found >= max(10, size * COMMON)).withColumn("told", told).withColumn("found", found)
+        .where(F.col("told") >= LEAST_BITS).orderBy(F.desc("told"), "word").limit(VOCABULARY).collect()
     )
     best.sort(key=lambda r: r["word"])
-    smooth = lambda n, total, kinds: log((n + 1) / (total + kinds))
+    # Rates lean to those of all domains together: what a domain has not shown tells nothing.
+    smooth = lambda n, total, pooled: log((n + PRIOR * pooled) / (total + PRIOR))
     shapes = {}
     for s, bounds in BINS.items():
         seen = {r[f"bin_{s}"]: r for r in sample.groupBy(f"bin_{s}").agg(*per_domain()).collect()}
+        counts = [[seen[b][f"n{i}"] if b in seen else 0 for i in range(len(domains))] for b in range(len(bounds) + 1)]
+        pooled = [(sum(c) + 0.5) / (size + 0.5 * len(counts)) for c in counts]
         shapes[s] = [
-            [smooth(seen[b][f"n{i}"] if b in seen else 0, n, len(bounds) + 1) for b in range(len(bounds) + 1)]
-            for i, n in enumerate(totals)
+            [smooth(c[i], n, x) for c, x in zip(counts, pooled, strict=True)] for i, n in enumerate(totals)
         ]
     return Classifier(
-        [smooth(n, size, len(domains)) for n in totals],
+        [log(n / size) if n else NEVER for n in totals],
         [r["word"] for r in best],
-        [[smooth(r[f"n{i}"], n, 2) for r in best] for i, n in enumerate(totals)],
+        [[smooth(r[f"n{i}"], n, (r["found"] + 0.5) / (size + 1)) for r in best] for i, n in enumerate(totals)],
         shapes,
     )
 
@@ -217,6 +232,7 @@ def fit_steps(members: DataFrame, targets: Targets) -> tuple[list[np.ndarray], n
         gram[i, j] = gram[j, i] = value or 0.0
     anchor = targets.domains.index(targets.anchor)
     goal = targets.shares * (reached[anchor] / max(targets.shares[anchor], 1e-12))
+    goal[reached == 0] = 0.0  # nothing belongs there
     q = np.linalg.pinv(gram, rcond=1e-9, hermitian=True)
     far = lambda totals: float((totals - goal) @ q @ (totals - goal))
     steps: list[np.ndarray] = []
@@ -240,15 +256,15 @@ def fit_steps(members: DataFrame, targets: Targets) -> tuple[list[np.ndarray], n
 def fitted(
     docs: DataFrame, labels: DataFrame, targets: Targets, keep: Sequence[Column], domain: Column | None,
     key: str, text: str,
-) -> tuple[DataFrame, list[Column], Column]:
-    """``keep``, tokens and posteriors of every row as a written table; the posteriors and the rate
-    as columns for any frame of ``features``."""
+) -> tuple[DataFrame, Classifier, Column]:
+    """``keep``, tokens and posteriors of every row as a written table; the classifier, and the rate
+    as a column over posteriors."""
     domain = domain_of_labels() if domain is None else domain
-    p = [x.alias(f"p_{i}") for i, x in enumerate(fit(docs, labels, domain, targets, key, text).posteriors())]
+    model = fit(docs, labels, domain, targets, key, text)
     found = features(docs, keep, text)
-    members = settle(found.select(*found.columns[: len(keep)], "tokens", *p), "members")
+    members = settle(model.posteriors(found, [*found.columns[: len(keep)], "tokens"]), "members")
     steps, _, _ = fit_steps(members, targets)
-    return members, p, rate([F.col(f"p_{i}") for i in range(len(p))], steps)
+    return members, model, rate([F.col(f"p_{i}") for i in range(len(model.prior))], steps)
 
 
 def draw_of(key: str, text: str) -> Column:
@@ -282,9 +298,10 @@ def resample(
 ) -> DataFrame:
     """``docs`` with each row as often as its copies say, none for copies 0; same columns. The
     posteriors are computed again in the pass that returns the rows: no text is shuffled."""
-    _, p, rate_ = fitted(docs, labels, targets, [], domain, key, text)
+    _, model, rate_ = fitted(docs, labels, targets, [], domain, key, text)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d")
-    found = features(docs, [row, draw_of(key, text).alias("draw__")], text).select("d", "draw__", *p)
+    found = features(docs, [row, draw_of(key, text).alias("draw__")], text)
+    found = model.posteriors(found, ["d", "draw__"])
     often = found.select("d", copies(rate_, F.col("draw__")).alias("copies")).where("copies > 0")
     return often.select("d", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
         *(F.col(f"d.`{c}`").alias(c) for c in docs.columns)
