@@ -33,7 +33,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
-from math import log
+from math import exp, log
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +44,7 @@ from .common import settle, table, text_column
 SAMPLE = 20_000
 VOCABULARY = 64
 COMMON = 0.02  # share of the sample that a word of the vocabulary is in, at least
+LIFT = 2.0  # such a word is in some domain so many times as often as in all
 LEAST_BITS = 20  # what a word of the vocabulary tells about the sample's domains, at least
 PRIOR = 2.0  # weight of the pooled rates in a domain's rates
 STEPS = 25
@@ -186,8 +187,10 @@ def fit(
             for i, n in enumerate(totals)
         ],
     )
+    # Words that set a domain off; words that only go with a language or with long texts do not.
+    lifts = [F.col(f"n{i}") * (size / n) / found for i, n in enumerate(totals) if n]
     best = (
-        counted.where(found >= max(10, size * COMMON)).withColumn("told", told).withColumn("found", found)
+        counted.where(F.greatest(*lifts, F.lit(0.0)) >= LIFT).where(found >= max(10, size * COMMON)).withColumn("told", told).withColumn("found", found)
         .where(F.col("told") >= LEAST_BITS).orderBy(F.desc("told"), "word").limit(VOCABULARY).collect()
     )
     best.sort(key=lambda r: r["word"])
@@ -201,10 +204,16 @@ def fit(
         shapes[s] = [
             [smooth(c[i], n, x) for c, x in zip(counts, pooled, strict=True)] for i, n in enumerate(totals)
         ]
+    held = [
+        [smooth(r[f"n{i}"], n, (r["found"] + 0.5) / (size + 1)) for r in best] for i, n in enumerate(totals)
+    ]
+    # A word that is not there tells as well: that is part of the prior, a word that is there adds
+    # the difference.
+    absent = [[log(max(1 - exp(x), 1e-9)) for x in own] for own in held]
     return Classifier(
-        [log(n / size) if n else NEVER for n in totals],
+        [log(n / size) + sum(a) if n else NEVER for n, a in zip(totals, absent, strict=True)],
         [r["word"] for r in best],
-        [[smooth(r[f"n{i}"], n, (r["found"] + 0.5) / (size + 1)) for r in best] for i, n in enumerate(totals)],
+        [[x - a for x, a in zip(*pair, strict=True)] for pair in zip(held, absent, strict=True)],
         shapes,
     )
 
@@ -245,7 +254,7 @@ def fit_steps(members: DataFrame, targets: Targets) -> tuple[list[np.ndarray], n
         *after, length = both.agg(*[F.sum(F.col("tokens") * F.col("new") * x) for x in p], moved).first()
         after = np.array([x or 0.0 for x in after], float)
         bend = float((after - reached) @ q @ (after - reached))
-        longer = min(max((length or 0.0) / bend, 1.0), 1e3) if bend > 0 else 1.0
+        longer = min(max((length or 0.0) / bend, 1.0), 8.0) if bend > 0 else 1.0
         reached = after
         best = min(best, (far(reached), len(steps), reached), key=lambda b: b[:2])
         if len(steps) - best[1] > 3 or (length or 0.0) < 1e-9 * goal.sum():
