@@ -282,6 +282,9 @@ def _register_b_c() -> None:
     }
     for name, table in names.items():
         _source(name, lambda s, k=table: staged_frame(s, k), ol.whole(ol.NAMES[table]))
+    # The snapshot window is landed again by every refresh: staged once all the same.
+    _source("b3_stg_snapshot_landed_twice", lambda s: staging.stg_snapshot(
+        raw_snapshot(s).unionByName(raw_snapshot(s))), ol.whole(ol.NAMES["stg_inventory_snapshot_daily_clean"]))
     _source("b1_normalised_keys", lambda s: staging.normalise_keys(
         s.transactions, ["warehouse_id", "sku_id"]), ol.whole("clean_tx"))
     _source("b7_product_all_versions", lambda s: staging.stg_product(s.skus, dedupe=False)

@@ -1,6 +1,7 @@
 from .core import (  # noqa: F401
     count_where,
     epoch_millis,
+    landed_once,
     latest_per_key,
     money,
     normalise_keys,

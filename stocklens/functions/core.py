@@ -88,6 +88,20 @@ def epoch_millis(day: Column) -> Column:
     return F.unix_date(day).cast("bigint") * F.lit(86_400_000)
 
 
+def landed_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last landed row of each key: landing a window or a poll again adds nothing.
+
+    Rows without a whole key cannot be told apart and all stay. Copies meet in the map-side part
+    of the aggregate.
+    """
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    marked = df.withColumn("_own", F.when(missing, F.monotonically_increasing_id()))
+    tie = [c for c in ["created_at"] if c in df.columns]
+    return latest_per_key(marked, [*keys, "_own"], "ingestion_time", tie).drop("_own")
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], version: str, tie: Sequence[str] = ()
 ) -> DataFrame:

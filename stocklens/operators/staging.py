@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.functions import (
+    landed_once,
     latest_per_key,
     money,
     normalise_keys,
@@ -29,7 +30,14 @@ def movement_columns(qty: str = "qty_change") -> dict[str, Column]:
     }
 
 
-def stg_transactions(raw: DataFrame) -> DataFrame:
+def _once(raw: DataFrame, keys: list[str], dedupe: bool) -> DataFrame:
+    """One row of each key, if the source has the key's columns at all."""
+    return landed_once(raw, keys) if dedupe and set(keys) <= set(raw.columns) else raw
+
+
+def stg_transactions(raw: DataFrame, dedupe: bool = True) -> DataFrame:
+    """Movements have no key of their own; a source with ``stream_seq`` is staged once by it."""
+    raw = _once(raw, ["stream_seq"], dedupe)
     return (
         normalise_keys(raw, ["warehouse_id", "sku_id"])
         .withColumn("event_date", F.to_date("event_time"))
@@ -41,10 +49,11 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_snapshot(raw: DataFrame) -> DataFrame:
+def stg_snapshot(raw: DataFrame, dedupe: bool = True) -> DataFrame:
     quantities = ["on_hand_qty", "reserved_qty", "damaged_qty", "in_transit_qty", "available_qty"]
+    conformed = normalise_keys(raw, ["warehouse_id", "sku_id"])
     return (
-        normalise_keys(raw, ["warehouse_id", "sku_id"])
+        _once(conformed, ["snapshot_date", "warehouse_id", "sku_id"], dedupe)
         .withColumns({c: not_below_zero(c).cast("int") for c in quantities})
         .withColumns({c: money(not_below_zero(money(c))) for c in ["inventory_value", "unit_cost"]})
         .select(
@@ -54,7 +63,9 @@ def stg_snapshot(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_po_lines(raw: DataFrame) -> DataFrame:
+def stg_po_lines(raw: DataFrame, dedupe: bool = False) -> DataFrame:
+    """``dedupe`` is for sources whose line ids are unique; others would lose lines by it."""
+    raw = _once(raw, ["po_line_id"], dedupe)
     status = F.trim("line_status")
     return (
         normalise_keys(raw, ["sku_id"])
@@ -75,7 +86,9 @@ def stg_po_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_sales_lines(raw: DataFrame) -> DataFrame:
+def stg_sales_lines(raw: DataFrame, dedupe: bool = False) -> DataFrame:
+    """``dedupe``: as for purchase lines."""
+    raw = _once(raw, ["so_line_id"], dedupe)
     return (
         normalise_keys(raw, ["sku_id"])
         .withColumns(
@@ -93,7 +106,9 @@ def stg_sales_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_stock_counts(raw: DataFrame) -> DataFrame:
+def stg_stock_counts(raw: DataFrame, dedupe: bool = False) -> DataFrame:
+    """``dedupe`` is for sources whose count ids are unique."""
+    raw = _once(raw, ["count_id"], dedupe)
     return (
         normalise_keys(raw, ["warehouse_id", "sku_id"])
         # The landed variance is not trusted.

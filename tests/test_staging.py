@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stocklens.functions import latest_per_key, ratio
 from stocklens.operators import staging
-from stocklens.plans.pipeline import MART_READS, lazy_mart
+from stocklens.plans.pipeline import MART_READS, lazy_mart, raw_snapshot
 from stocklens.schemas import mart_schema
 from stocklens.operators.mart import TABLE_NAMES
 from stocklens.sources.trade_tables import TradeTables
@@ -132,3 +132,28 @@ def test_mart_schema(spark, field):
     declared = mart_schema(TABLE_NAMES[field])
     got = getattr(tables, field).schema
     assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in declared]
+
+
+@pytest.mark.parametrize("name", ["snapshot", "po_lines", "sales_lines", "stock_counts"])
+def test_facts_landed_twice_are_staged_once(spark, name):
+    clean = {
+        "snapshot": staging.stg_snapshot, "po_lines": staging.stg_po_lines,
+        "sales_lines": staging.stg_sales_lines, "stock_counts": staging.stg_stock_counts,
+    }[name]
+    src = TradeTables(spark, "/root/testdata/sf0.001")
+    raw = raw_snapshot(src).limit(500) if name == "snapshot" else getattr(src, name)
+    ids = {"po_lines": ["po_line_id"], "sales_lines": ["so_line_id"], "stock_counts": ["count_id"]}
+    raw = (raw.dropDuplicates(ids[name]) if name in ids else raw).persist()
+    once = clean(raw, dedupe=False)
+    assert clean(raw.union(raw), dedupe=True).exceptAll(once).count() == 0
+    assert clean(raw.union(raw), dedupe=True).count() == once.count()
+    assert clean(raw.union(raw), dedupe=False).count() == 2 * once.count()
+    later = raw.withColumn("ingestion_time", F.timestamp_seconds(F.lit(2_000_000_000)))
+    assert clean(raw.union(later), dedupe=True).select("ingestion_time").distinct().count() == 1
+    raw.unpersist()
+
+
+def test_rows_without_a_key_all_stay(spark):
+    src = TradeTables(spark, "/root/testdata/sf0.001")
+    raw = src.stock_counts.limit(7).withColumn("count_id", F.lit(None).cast("long"))
+    assert staging.stg_stock_counts(raw, dedupe=True).count() == 7
