@@ -49,13 +49,16 @@ def stg_transactions(raw: DataFrame, dedupe: bool = True) -> DataFrame:
     )
 
 
-def stg_snapshot(raw: DataFrame, dedupe: bool = True) -> DataFrame:
+def stg_snapshot(raw: DataFrame, dedupe: bool = True, clamp: bool = True) -> DataFrame:
+    """``clamp=False`` keeps negative stock: the mart's monitors have to see it."""
+    floor = not_below_zero if clamp else F.col
+    money_floor = not_below_zero if clamp else (lambda c: c)
     quantities = ["on_hand_qty", "reserved_qty", "damaged_qty", "in_transit_qty", "available_qty"]
     conformed = normalise_keys(raw, ["warehouse_id", "sku_id"])
     return (
         _once(conformed, ["snapshot_date", "warehouse_id", "sku_id"], dedupe)
-        .withColumns({c: not_below_zero(c).cast("int") for c in quantities})
-        .withColumns({c: money(not_below_zero(money(c))) for c in ["inventory_value", "unit_cost"]})
+        .withColumns({c: floor(c).cast("int") for c in quantities})
+        .withColumns({c: money(money_floor(money(c))) for c in ["inventory_value", "unit_cost"]})
         .select(
             "snapshot_date", "warehouse_id", "sku_id", *quantities,
             "inventory_value", "unit_cost", "created_at", "ingestion_time",

@@ -102,9 +102,16 @@ def staged_frame(src: TradeTables, name: str) -> DataFrame:
 def mart_frame(src: TradeTables, field: str) -> DataFrame:
     """One mart table as a lazy frame, all the way from the source."""
     staged, build = MART_READS[field]
+    if field == "snapshot":
+        return signed_snapshot(raw_snapshot(src))
     return build(staged_frame(src, staged))
 
 
+def signed_snapshot(landed: DataFrame) -> DataFrame:
+    """The snapshot fact. Staging's clamps are left out: negative stock must reach the monitors."""
+    return mart.fact_snapshot(staging.stg_snapshot(landed, clamp=False))
+
+
 def lazy_mart(src: TradeTables) -> Tables:
     return Tables(**{field: mart_frame(src, field) for field in MART_READS})
 
@@ -159,8 +166,7 @@ class PublishedMart:
     def frame(self, name: str) -> DataFrame:
         """What a mart table is written from. The snapshot reads the published movements."""
         if name == "snapshot":
-            landed = raw_snapshot(self.src, self.movement)
-            return mart.fact_snapshot(staging.stg_snapshot(landed))
+            return signed_snapshot(raw_snapshot(self.src, self.movement))
         return mart_frame(self.src, name)
 
     @cached_property

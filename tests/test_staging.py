@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stocklens.functions import latest_per_key, ratio
 from stocklens.operators import staging
-from stocklens.plans.pipeline import MART_READS, lazy_mart, raw_snapshot
+from stocklens.plans.pipeline import MART_READS, lazy_mart, raw_snapshot, signed_snapshot
 from stocklens.schemas import mart_schema
 from stocklens.operators.mart import TABLE_NAMES
 from stocklens.sources.trade_tables import TradeTables
@@ -157,3 +157,10 @@ def test_rows_without_a_key_all_stay(spark):
     src = TradeTables(spark, "/root/testdata/sf0.001")
     raw = src.stock_counts.limit(7).withColumn("count_id", F.lit(None).cast("long"))
     assert staging.stg_stock_counts(raw, dedupe=True).count() == 7
+
+
+def test_negative_stock_reaches_the_fact(spark):
+    src = TradeTables(spark, "/root/testdata/sf0.001")
+    raw = raw_snapshot(src).limit(20).withColumn("available_qty", F.lit(-4).cast("int"))
+    assert {r.available_qty for r in staging.stg_snapshot(raw).collect()} == {0}
+    assert {r.available_qty for r in signed_snapshot(raw).collect()} == {-4}
