@@ -14,7 +14,8 @@ steps start at rate 1 and are scaled by tokens, so a step is
 
 with a = 1, which meets the targets at once if no rate is clipped; where some are, a follows
 Barzilai and Borwein. A step needs the few totals S only: they are summed on the executors, and the
-rates are never stored, since they are a function of a document's posterior and the past steps.
+rates are never stored, since they are a function of a document's posterior and the past steps. The
+usual targets take a few steps; targets out of reach take up to ``STEPS``, of which the best is kept.
 
 The classifier: presence of ``VOCABULARY`` words, chosen by mutual information with the domain, and
 four shapes (length, share of symbols, of capitals, of different words) in fixed bins. It is
@@ -47,7 +48,8 @@ COMMON = 0.02  # share of the sample that a word of the vocabulary is in, at lea
 LIFT = 2.0  # such a word is in some domain so many times as often as in all
 LEAST_BITS = 20  # what a word of the vocabulary tells about the sample's domains, at least
 PRIOR = 2.0  # weight of the pooled rates in a domain's rates
-STEPS = 25
+STEPS = 60
+PATIENCE = 15  # steps without a better point, after which the best one is taken
 TOLERANCE = 1e-5  # of the target total
 NEVER = -1e9  # log prior of a domain without labelled documents: its posterior is 0
 SYMBOLS = "[#*$%&|<>!]"
@@ -254,10 +256,10 @@ def fit_steps(members: DataFrame, targets: Targets) -> tuple[list[np.ndarray], n
         *after, length = both.agg(*[F.sum(F.col("tokens") * F.col("new") * x) for x in p], moved).first()
         after = np.array([x or 0.0 for x in after], float)
         bend = float((after - reached) @ q @ (after - reached))
-        longer = min(max((length or 0.0) / bend, 1.0), 8.0) if bend > 0 else 1.0
+        longer = min(max((length or 0.0) / bend, 1.0), 1e3) if bend > 0 else 1.0
         reached = after
         best = min(best, (far(reached), len(steps), reached), key=lambda b: b[:2])
-        if len(steps) - best[1] > 3 or (length or 0.0) < 1e-9 * goal.sum():
+        if len(steps) - best[1] > PATIENCE or (length or 0.0) < 1e-9 * goal.sum():
             break  # nothing moves any more: the targets cannot be met, the best point is the nearest
     return steps[: best[1]], goal, best[2]
 

@@ -53,7 +53,8 @@ def test_steps_against_a_plain_solver(spark, weights):
     q = np.linalg.pinv((p * tokens[:, None]).T @ p, hermitian=True)
     best = least_squares(tokens, p, goal, q)
     far = lambda s: (s - goal) @ q @ (s - goal)
-    assert far(reached) <= far(best) * 1.05 + 1e-3
+    start = far(tokens @ p)  # the last weights cannot be met; there the way to the optimum counts
+    assert far(reached) <= far(best) + 0.01 * (start - far(best))
     rates = members.select(mixing.rate([F.col(f"p_{i}") for i in range(3)], steps).alias("r"), "*").collect()
     assert np.allclose(sum(r.r * r.tokens * np.array(r[2:]) for r in rates), reached)
 
