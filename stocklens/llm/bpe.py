@@ -26,7 +26,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import string
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ from .common import settle, table, text_column
 
 LEAF_CHARS = 32_768
 WINDOW_CHARS = 64  # least window on either side of a seam; longer than any special token
-MEMORY = 250_000  # words that a task remembers
+MEMORY = 100_000  # words that a task remembers before it starts anew, from what comes back
 LONGEST_WORD = 64  # longer words are encoded without being remembered
 #: White space of the Unicode standard.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -48,6 +50,9 @@ WORD = re.compile(f"[^{SPACES}]+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")  # str.split() cuts there, the tokenizer does not
 
 
+PUNCTUATION = string.punctuation
+
+
 class Codec:
     """A tokenizer file and the words met so far."""
 
@@ -60,7 +65,13 @@ class Codec:
         self.tokenizer.no_padding()
         # Without a decoder the decoded text is the tokens with one space between them.
         self.joins_tokens = self.tokenizer.decoder is None
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.tokens = [self.tokenizer.id_to_token(i) for i in range(size)] if self.joins_tokens else []
         self.words: dict[str, tuple[bytes, str]] = {}
+        self.pieces: dict[str, tuple[bytes, str]] = {}
+        # What was met before the last clearing: words that come back are taken over from here.
+        self.old_words: dict[str, tuple[bytes, str]] = {}
+        self.old_pieces: dict[str, tuple[bytes, str]] = {}
         self.placed: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def decode(self, ids: list[int]) -> str:
@@ -68,15 +79,38 @@ class Codec:
 
     def _learn(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
         """Encode ``words``; those that are not too long stay in memory."""
-        out = {}
-        for word, found in zip(
-            words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True
+        old = self.old_words
+        back = {w: old[w] for w in words if w in old}
+        parts = {w: pieces(w) for w in words if w not in back}
+        known = self.pieces
+        again = self.old_pieces
+        known.update((p, again[p]) for x in parts.values() for p in x if p not in known and p in again)
+        new = [p for p in dict.fromkeys(p for x in parts.values() for p in x) if p not in known]
+        found = {}
+        for piece, encoded in zip(
+            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
         ):
-            ids = found.ids
-            out[word] = (np.array(ids, "<u4").tobytes(), self.decode(ids) if self.joins_tokens else "")
-        if len(self.words) + len(out) > MEMORY:
-            self.words.clear()
+            ids = encoded.ids
+            text = " ".join([self.tokens[i] for i in ids]) if self.joins_tokens else ""
+            found[piece] = (array("I", ids).tobytes(), text)
+        if found:
+            found |= {p: known[p] for x in parts.values() for p in x if p in known}
+        else:
+            found = known
+        out = back
+        for word, own in parts.items():
+            if len(own) == 1:
+                out[word] = found[own[0]]
+            else:
+                both = [found[p] for p in own]
+                out[word] = (b"".join([x[0] for x in both]), " ".join([x[1] for x in both]))
+        if found is not known:
+            known.update((p, x) for p, x in found.items() if len(p) <= LONGEST_WORD)
         self.words.update((w, x) for w, x in out.items() if len(w) <= LONGEST_WORD)
+        if len(self.words) > MEMORY:
+            self.words, self.old_words = {}, self.words
+        if len(self.pieces) > MEMORY // 2:
+            self.pieces, self.old_pieces = {}, self.pieces
         return out
 
     def encode(self, text: str) -> tuple[bytes, str]:
@@ -151,6 +185,19 @@ class Codec:
         return leaves[0][1]
 
 
+def pieces(word: str) -> tuple[str, ...]:
+    """Parts of a word that the tokenizer treats on their own: letters and the ASCII punctuation
+    that follows them, ASCII letters in lower case, as it sees them."""
+    core = word.rstrip(PUNCTUATION)
+    if core.isascii():
+        if not core.isalpha():
+            return (word,)
+        core = core.lower()
+    elif not unicodedata.normalize("NFC", core).lower().isalpha():  # it can end in a mark
+        return (word,)
+    return (core,) if len(core) == len(word) else (core, word[len(core) :])
+
+
 def clean(text: str, at: int) -> bool:
     """Whether no rule of the tokenizer looks across this place."""
     before, after = text[at - 1], text[at]
@@ -200,8 +247,12 @@ RESULT = T.StructType(
 LEAF = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("starts", T.BinaryType())])
 
 
+def digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def results(rows: list[tuple[bytes, str]], with_ids: bool) -> pa.Array:
-    """RESULT of each (ids, decoded text)."""
+    """RESULT of each (ids, digest of the decoded text); the texts themselves are not kept."""
     sizes = np.array([0, *(len(ids) // 4 for ids, _ in rows)], np.int64)
     if with_ids:
         values = np.frombuffer(b"".join([ids for ids, _ in rows]), "<i4")
@@ -212,7 +263,7 @@ def results(rows: list[tuple[bytes, str]], with_ids: bool) -> pa.Array:
         [
             pa.array(sizes[1:]),
             pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in rows], pa.string()),
-            pa.array([hashlib.sha256(text.encode()).hexdigest() for _, text in rows], pa.string()),
+            pa.array([decoded for _, decoded in rows], pa.string()),
             lists,
         ],
         RESULT.names,
@@ -224,7 +275,11 @@ def whole(definition: str, with_ids: bool, text: Column) -> Column:
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = Codec(definition)
         for texts in batches:
-            yield results([codec.encode(t) for t in texts.to_pylist()], with_ids)
+            rows = []
+            for t in texts:  # one text at a time as a Python string
+                ids, decoded = codec.encode(t.as_py())
+                rows.append((ids, digest(decoded)))
+            yield results(rows, with_ids)
 
     return of(text)
 
@@ -258,7 +313,7 @@ def tree(definition: str, with_ids: bool, leaves: Column) -> Column:
                     for p in sorted(one.as_py(), key=lambda p: p["part"])
                 ]
                 ids = codec.join_leaves(parts)
-                rows.append((ids.astype("<u4").tobytes(), codec.decode(ids.tolist())))
+                rows.append((ids.astype("<u4").tobytes(), digest(codec.decode(ids.tolist()))))
             yield results(rows, with_ids)
 
     return of(leaves)
