@@ -11,7 +11,10 @@ Differencing alone cannot give the contract's text: a frame's advert or footer c
 page, and passages that articles share are articles all the same. So markup has a say as well:
 lines inside ``article`` or ``main`` are never deleted; if a page has such an element, no other
 lines are its text; and lines inside elements that name themselves menus, headers, footers, sidebars,
-notices, adverts, forms or comments go, shared or not.
+notices, adverts, forms or comments go, shared or not. Only a whole class, id or role is such a name:
+"has-sidebar" or "comments-open" is none. ``html``, ``body``, ``article``, ``main``, ``h1`` and what
+holds a ``main`` are never frame by name; nor is what holds an ``article``, unless the page has an
+article elsewhere (comments and teasers are often articles of their own).
 
 Lines travel as hashes for the alignment, and equal pages as one. Pages are numbered in URL order
 and meet their neighbours by number, so a host with a third of all pages is no hot key.
@@ -37,7 +40,8 @@ from .common import settle, table, text_column
 from .sharding import numbered
 
 #: Elements whose content is no text of the page, elements of the frame, elements
-#: inside a line of text, elements without an end, and words in class, id or role of a frame's part.
+#: inside a line of text, elements without an end, whole names (class, id or role) of a frame's part, and
+#: elements that no name makes one.
 NO_TEXT = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "title", "textarea"}
 FRAME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset"}
 MAIN = {"article", "main"}
@@ -53,7 +57,13 @@ FRAME_WORDS = {
     "aside", "complementary", "contentinfo", "cookie", "cookies", "consent", "notice", "notices", "alert", "popup",
     "modal", "newsletter", "subscribe", "share", "sharing", "social", "related", "comment", "comments", "reply",
     "replies", "respond", "disqus", "login", "search", "form", "pagination", "widget",
+    "cookie-notice", "cookie-banner", "cookie-bar", "cookie-consent", "site-header", "site-footer", "page-footer",
+    "main-nav", "main-menu", "main-navigation", "site-nav", "site-navigation", "nav-menu", "top-menu", "top-nav",
+    "left-sidebar", "right-sidebar", "sidebar-left", "sidebar-right", "widget-area", "ad-banner", "ad-container",
+    "ad-slot", "ad-unit", "share-buttons", "social-links", "social-share", "related-articles", "related-posts",
+    "comment-form", "comment-list", "comments-area", "login-form", "search-form", "newsletter-signup", "skip-link",
 }
+NEVER_BY_NAME = {"html", "body", "h1"} | MAIN
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)>|<[!?][^<>]*+>",
@@ -66,15 +76,29 @@ OPEN, ARTICLE, BOILER = 0, 1, 2
 def names_frame(attributes: str) -> bool:
     for m in NAMED.finditer(attributes):
         value = (m[1] or m[2] or m[3] or "").lower()
-        if FRAME_WORDS & set(re.split(r"[^a-z0-9]+", value)):
+        if not FRAME_WORDS.isdisjoint(value.replace("_", "-").split()):
             return True
     return False
 
 
 def page_lines(html: str) -> list[tuple[int, str]]:
     """(kind, text) of each line of a page, in page order."""
+    lines, around = walked(html, {})
+    if "main" in around.values():
+        lines, around = walked(html, {at: held for at, held in around.items() if held == "main"})
+    if around and not any(kind == ARTICLE for kind, _ in lines):
+        lines, _ = walked(html, around)
+    return lines
+
+
+def walked(html: str, around: dict[int, str]) -> tuple[list[tuple[int, str]], dict[int, str]]:
+    """The lines, where no name makes the elements that start at ``around`` a part of the frame; and,
+    if a name hid a ``main`` or ``article``, the places of the elements around it and which it was."""
     lines: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []  # open elements and the kind of their lines
+    places: list[tuple[int, int]] = []  # of the open elements; up to each, how many are frame by name
+    found = dict(around)
+    hidden = False
     run: list[str] = []
 
     def end_line(kind: int) -> None:
@@ -99,7 +123,7 @@ def page_lines(html: str) -> list[tuple[int, str]]:
                 end_line(kind)
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
+                    del stack[i:], places[i:]
                     break
             continue
         if name in NO_TEXT:
@@ -110,24 +134,36 @@ def page_lines(html: str) -> list[tuple[int, str]]:
         if name in INLINE:
             if name == "br":
                 run.append(" ")
-            if name not in VOID and not attributes.rstrip().endswith("/") and names_frame(attributes):
+            if name not in VOID and not attributes.rstrip().endswith("/") and m.start() not in around and names_frame(attributes):
                 end_line(kind)
                 stack.append((name, BOILER))
+                places.append((m.start(), (places[-1][1] if places else 0) + 1))
             continue
         end_line(kind)
         if stack and stack[-1][0] == "p":  # a block ends a paragraph that was left open
-            stack.pop()
+            stack.pop(), places.pop()
             kind = stack[-1][1] if stack else OPEN
         if name in VOID:
             continue
+        by_name = places[-1][1] if places else 0
+        if name in MAIN and by_name:
+            hidden = True
+            for i in range(len(places) - 1, -1, -1):
+                place = places[i][0]
+                if found.get(place) in (name, "main"):  # so have those around it
+                    break
+                found[place] = name
         if kind != BOILER:
-            if name in FRAME or names_frame(attributes):
+            if name in FRAME:
                 kind = BOILER
+            elif name not in NEVER_BY_NAME and m.start() not in around and names_frame(attributes):
+                kind, by_name = BOILER, by_name + 1
             elif name in MAIN:
                 kind = ARTICLE
         stack.append((name, kind))
+        places.append((m.start(), by_name))
     end_line(stack[-1][1] if stack else OPEN)
-    return lines
+    return lines, found if hidden else {}
 
 
 PAGE = T.StructType(
