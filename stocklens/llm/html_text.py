@@ -1,11 +1,12 @@
 """Main text of web pages by nearest-URL page differencing.
 
-A page is cut into text lines, one for each block of its markup. Pages are put in the order of host
-and URL path; the nearer of the two neighbours in that order (same host, longer common path,
-then the page before) is the page's partner. The lines of both are aligned by a longest common
-subsequence, and lines that the page shares with its partner are deleted: what a site
-repeats from page to page is its frame. A neighbour with the very same lines says nothing and is
-passed over.
+A page is cut into text lines, one for each block of its markup. The different pages of a host (pages
+with the very same lines count once, at their first path) are put in the order of URL path; the
+nearer of the two neighbours in that order (longer common path, then the page before) is the
+page's partner. The lines of both are aligned by a longest common subsequence, and lines that the page
+shares with its partner are deleted if another of the two pages on each side holds them too: what a
+site repeats from page to page is its frame, what two near copies share is not. On a host of two
+different pages the partner alone decides.
 
 Differencing alone cannot give the contract's text: a frame's advert or footer can differ on each
 page, and passages that articles share are articles all the same. So markup has a say as well:
@@ -182,15 +183,16 @@ def line_hash(kind: int, line: str) -> int:
 
 @F.arrow_udf(PAGE)
 def parsed(pages: pa.Array) -> pa.Array:
-    """Lines of the pages. Lines of the frame by markup are hashed, their text stays behind."""
+    """Lines of the pages. Lines that markup keeps out of the text are hashed, their text stays behind."""
     out = []
     for page in pages.to_pylist():
         lines = page_lines(page)
         hashes = [line_hash(*x) for x in lines]
+        wanted = ARTICLE if any(k == ARTICLE for k, _ in lines) else OPEN
         out.append(
             {
                 "kinds": [k for k, _ in lines],
-                "lines": [None if k == BOILER else x for k, x in lines],
+                "lines": [x if k == wanted else None for k, x in lines],
                 "hashes": hashes,
                 "digest": hashlib.sha256(np.array(hashes, "<i8").tobytes()).hexdigest(),
             }
@@ -236,14 +238,20 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
-def shared_places(own: pa.Array, partner: pa.Array) -> pa.Array:
-    rows = [
-        common_lines(np.array(x, np.int64), np.array(y, np.int64)) if y is not None else []
-        for x, y in zip(own.to_pylist(), partner.to_pylist(), strict=True)
-    ]
+def shared_places(own: pa.Array, partner: pa.Array, further: pa.Array) -> pa.Array:
+    """Places of the lines shared with the partner and, if there are further pages, with one of them."""
+    rows = []
+    for x, y, z in zip(own.to_pylist(), partner.to_pylist(), further.to_pylist(), strict=True):
+        places = common_lines(np.array(x, np.int64), np.array(y, np.int64)) if y is not None else []
+        held = None if z is None else set(z)
+        rows.append([i for i in places if held is None or x[i] in held])
     return pa.array(rows, pa.list_(pa.int32()))
 
 
+#: Steps in the order of pages to the neighbours that a line is looked up in.
+SIDES = {"before": 1, "after": -1, "before2": 2, "after2": -2}
+
+
 def common_start(a, b):
     """How many path segments two paths have in common at their start."""
     same = F.zip_with(F.split(a, "/"), F.split(b, "/"), lambda x, y: x.eqNullSafe(y))
@@ -261,23 +269,33 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
         F.regexp_extract(address, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1).alias("path"),
         parsed(text_column(pages, html)).alias("p"),
     )
-    page = ["host", "path", "digest"]
-    distinct = rows.select("host", "path", F.col("p.digest").alias("digest"), F.col("p.hashes").alias("hashes")).dropDuplicates(page)
-    ordered, _ = numbered(distinct, page)
+    page = ["host", "digest"]
+    distinct = (
+        rows.select("host", "path", F.col("p.digest").alias("digest"), F.col("p.hashes").alias("hashes"))
+        .groupBy(page).agg(F.min("path").alias("path"), F.any_value("hashes").alias("hashes"))
+    )
+    ordered, _ = numbered(distinct, ["host", "path", "digest"])
     ordered = settle(ordered, "ordered")
-    side = lambda step, name: ordered.select(
-        (F.col("number") + step).alias("number"),
-        *(F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "digest", "hashes")),
-    )
-    near = ordered.join(side(1, "before"), "number", "left").join(side(-1, "after"), "number", "left")
+    near = ordered
+    for name, step in SIDES.items():
+        side = ordered.select(
+            (F.col("number") + step).alias("number"),
+            *(F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "hashes")),
+        )
+        near = near.join(side, "number", "left")
+    lines_of = lambda name: F.when(F.col(f"{name}_host") == F.col("host"), F.col(f"{name}_hashes"))
 
     def worth(name: str):  # -1: no partner
-        fits = (F.col(f"{name}_host") == F.col("host")) & (F.col(f"{name}_digest") != F.col("digest"))
+        fits = F.col(f"{name}_host") == F.col("host")
         return F.when(fits, common_start(F.col("path"), F.col(f"{name}_path"))).otherwise(-1)
 
     best = F.greatest(worth("before"), worth("after"))
-    partner = F.when(best < 0, None).when(worth("before") == best, F.col("before_hashes")).otherwise(F.col("after_hashes"))
-    shared = settle(near.select(*page, shared_places("hashes", partner).alias("shared")), "shared")
+    first = worth("before") == best
+    partner = F.when(best < 0, None).when(first, lines_of("before")).otherwise(lines_of("after"))
+    others = [F.when(first, lines_of("after")).otherwise(lines_of("before")), lines_of("before2"), lines_of("after2")]
+    none = F.array().cast("array<bigint>")
+    further = F.when(F.coalesce(*others).isNotNull(), F.array_union(F.array_union(*(F.coalesce(o, none) for o in others[:2])), F.coalesce(others[2], none)))
+    shared = settle(near.select(*page, shared_places("hashes", partner, further).alias("shared")), "shared")
     found = rows.withColumn("digest", F.col("p.digest")).join(shared, page)
     has_main = F.array_contains("p.kinds", ARTICLE)
     kept = F.filter(
