@@ -17,8 +17,10 @@ Barzilai and Borwein. A step needs the few totals S only: they are summed on the
 rates are never stored, since they are a function of a document's posterior and the past steps. The
 usual targets take a few steps; targets out of reach take up to ``STEPS``, of which the best is kept.
 
-The classifier: presence of ``VOCABULARY`` words, chosen by mutual information with the domain, and
-four shapes (length, share of symbols, of capitals, of different words) in fixed bins. It is
+The classifier: presence of up to ``VOCABULARY`` words for each domain, and
+four shapes (length, share of symbols, of capitals, of different words) in fixed bins. A domain's words
+are common in its own labelled documents, however few of all they are, and tell most about the
+domains; a word must tell more bits than it takes to name one of the candidates. It is
 fitted to at most ``SAMPLE`` labelled documents (the first by hash of their key); all else covers
 all documents. Everything is DataFrame functions.
 
@@ -34,7 +36,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
-from math import exp, log
+from math import exp, log, log2
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,10 +45,10 @@ from pyspark.sql import functions as F
 from .common import settle, table, text_column
 
 SAMPLE = 20_000
-VOCABULARY = 64
-COMMON = 0.02  # share of the sample that a word of the vocabulary is in, at least
-LIFT = 2.0  # such a word is in some domain so many times as often as in all
-LEAST_BITS = 20  # what a word of the vocabulary tells about the sample's domains, at least
+VOCABULARY = 64  # words for each domain
+COMMON = 0.02  # share of a domain's own labelled documents that a word chosen for it is in, at least
+LEAST = 3  # so many of them at least
+LIFT = 2.0  # such a word is in that domain so many times as often as in all
 PRIOR = 2.0  # weight of the pooled rates in a domain's rates
 STEPS = 60
 PATIENCE = 15  # steps without a better point, after which the best one is taken
@@ -190,12 +192,21 @@ def fit(
         ],
     )
     # Words that set a domain off; words that only go with a language or with long texts do not.
-    lifts = [F.col(f"n{i}") * (size / n) / found for i, n in enumerate(totals) if n]
-    best = (
-        counted.where(F.greatest(*lifts, F.lit(0.0)) >= LIFT).where(found >= max(10, size * COMMON)).withColumn("told", told).withColumn("found", found)
-        .where(F.col("told") >= LEAST_BITS).orderBy(F.desc("told"), "word").limit(VOCABULARY).collect()
-    )
-    best.sort(key=lambda r: r["word"])
+    for_domain = [
+        (F.col(f"n{i}") * (size / max(n, 1)) / found >= LIFT) & (F.col(f"n{i}") >= max(LEAST, n * COMMON))
+        for i, n in enumerate(totals)
+    ]
+    words = settle(
+        counted.where(reduce(lambda a, b: a | b, for_domain)).withColumn("told", told).withColumn("found", found),
+        "candidates",
+    )
+    telling = words.where(F.col("told") >= log2(max(words.count(), 2)))
+    chosen_words = {
+        r["word"]: r
+        for own in for_domain
+        for r in telling.where(own).orderBy(F.desc("told"), "word").limit(VOCABULARY).collect()
+    }
+    best = [chosen_words[word] for word in sorted(chosen_words)]
     # Rates lean to those of all domains together: what a domain has not shown tells nothing.
     smooth = lambda n, total, pooled: log((n + PRIOR * pooled) / (total + PRIOR))
     shapes = {}
