@@ -151,11 +151,11 @@ CTES: dict[str, str] = {
            CASE WHEN o_orderkey % 3 = 0 THEN
              cast(cast(o_orderdate AS date) + cast(1 + o_orderkey % 9 AS int) AS timestamp)
            END AS completed_at
-    FROM orders WHERE o_orderkey % 4 = 0""",
+    FROM orders""",
     "transfer_lines": """
     SELECT l_orderkey * 8 + l_linenumber AS transfer_line_id, l_orderkey AS transfer_id, sku_id,
            q AS qty
-    FROM map_line WHERE l_orderkey % 4 = 0""",
+    FROM map_line""",
     "clean_tx": """
     SELECT upper(trim(warehouse_id)) AS warehouse_id, upper(trim(sku_id)) AS sku_id, event_type,
            qty_change, event_time, ingestion_time
