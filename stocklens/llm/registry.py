@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, decontamination, html_text, mixing, pii, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, topk
+from . import bpe, decontamination, html_text, merkle, mixing, pii, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, topk
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -19,9 +19,11 @@ QUERIES = {
     "op9_simhash_components": simhash.op9_simhash_components,
     "op10_bpe_tree": bpe.op10_bpe_tree,
     "op11_aho_corasick_hits": decontamination.op11_aho_corasick_hits,
+    "op12_incremental_witnesses": merkle.op12_incremental_witnesses,
 }
 ORACLES: dict[str, str] = {
     **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     "op8_tiled_top_k": topk.OP8_SQL,
     "op11_aho_corasick_hits": decontamination.OP11_SQL,
+    "op12_incremental_witnesses": merkle.OP12_SQL,
 }
