@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, decontamination, html_text, merkle, mixing, pii, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, topk
+from . import bpe, decontamination, html_text, merkle, mixing, pii, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, token_alignment, topk
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -20,6 +20,7 @@ QUERIES = {
     "op10_bpe_tree": bpe.op10_bpe_tree,
     "op11_aho_corasick_hits": decontamination.op11_aho_corasick_hits,
     "op12_incremental_witnesses": merkle.op12_incremental_witnesses,
+    "op13_spill_counts": token_alignment.op13_spill_counts,
 }
 ORACLES: dict[str, str] = {
     **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
