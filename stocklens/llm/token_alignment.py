@@ -17,9 +17,11 @@ documents get, and the shares of a run are added to its documents.
 What a task holds is bounded by a run, ``FAN_IN`` open streams and the distinct pairs of one radix; none
 grows with the number of documents. Runs, counts and shares are written to the shared folder between steps.
 
-Long texts are cut where a single blank stands between two ASCII letters, every ``PART_CHARS`` or so:
-A's pattern starts a word there, and no piece of B has a blank inside, so neither
-joins bytes across (if a vocabulary has such pieces or another pattern, texts are encoded whole).
+Texts are cut into units where a single blank stands between two characters that are no white space: A's
+pattern starts a word there, and no piece of B has a blank behind another letter, so neither joins bytes across
+(if a vocabulary has such pieces or another pattern, texts are encoded whole). A unit's tokens and
+links are found once and remembered, up to ``MEMORY`` of them and as many from before; units met
+for the first time are encoded together. Tokens have one byte at least, so each group has one link.
 
 Defined results: null and empty texts, and those whose tokens do not give back their bytes (say, one with
 U+2581), have no tokens: zeros, empty group text. Strings of special tokens are plain text. Repeated rows
@@ -53,10 +55,12 @@ RUN_RECORDS = 1_000_000  # pair-document records of a run
 RUN_DOCS = 50_000
 RADIX = 32  # pieces of a run
 FAN_IN = 64  # streams of a merge
-PART_CHARS = 1 << 18  # long texts are encoded in parts of about this size
+PART_CHARS = 1 << 18  # texts are encoded together, and long ones in parts, of about this size
+MEMORY = 150_000  # units that a task remembers before it starts anew, from what comes back
+LONGEST_UNIT = 64  # longer units are not remembered
 BLOCK = 8192  # entries read from a stream at a time
 PAIR = np.dtype([("code", "<i8"), ("n", "<i8")])
-CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 BLANK = "▁"  # fixed by piece models
 
 
@@ -93,6 +97,8 @@ class Codec:
         self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self.ids = max(self.size_a, self.size_b)
         self.words = [f"{i}{mark}" for mark in ",|;" for i in range(self.ids)]
+        self.known: dict[str, Unit] = {}
+        self.old: dict[str, Unit] = {}
         self.rows = -(-self.size_b // RADIX)
         split = json.loads(definition).get("pre_tokenizer") or {}
         self.cuttable = (
@@ -111,22 +117,53 @@ class Codec:
             at = cut.end()
         yield text[at:]
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        found = self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
-        for a, b in zip(found, self.b.encode(texts, num_threads=1), strict=True):
-            yield a.ids, b
-
     def code(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Pairs as numbers in the order of B's radix, B, A."""
         return ((b % RADIX) * self.rows + b // RADIX) * self.size_a + a
 
-    def linked(self, text: str, a: list[int], b: list[int]) -> tuple[np.ndarray, str] | None:
-        """The linked pairs in order, and the groups' text, each group ended by a semicolon."""
-        raw = b" " + text.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return None
+    def units(self, text: str) -> list[str]:
+        return CUT.split(text) if self.cuttable else [text]
+
+    def learned(self, units: list[str]) -> dict[str, Unit]:
+        """What is known of ``units``; those not met before are encoded together."""
+        if len(self.known) >= MEMORY:
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        wanted = set(units)
+        new = [u for u in wanted if u not in known]
+        known.update({u: old[u] for u in new if u in old})
+        found = dict(self.linked([u for u in new if u not in known]))
+        long = {u: x for u, x in found.items() if len(u) > LONGEST_UNIT}
+        known.update((u, x) for u, x in found.items() if u not in long)
+        return {u: long[u] if u in long else known[u] for u in wanted} if long else known
+
+    def linked(self, units: list[str]) -> Iterator[tuple[str, Unit]]:
+        """Each unit with its tokens and links; units that can stand beside each other are encoded as one text."""
+        inner = [u for u in units if not (u[0].isspace() or u[-1].isspace())] if self.cuttable else []
+        if inner:
+            yield from self._linked(inner)
+        if len(inner) < len(units):
+            for u in set(units).difference(inner):
+                yield from self._linked([u])
+
+    def _linked(self, units: list[str]) -> Iterator[tuple[str, Unit]]:
+        text = " ".join(units)
+        whole = b" " + text.encode()
+        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b = self.b.encode(text)
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
         ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
+        if (
+            b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole
+        ):  # some unit does not give back its bytes
+            if len(units) == 1:
+                yield units[0], None
+            else:
+                yield from self._linked(units[: len(units) // 2])
+                yield from self._linked(units[len(units) // 2 :])
+            return
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        stop_a, stop_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
         at = np.searchsorted(ends_a, ends_b)
         last_b = np.flatnonzero(ends_a[at] == ends_b)  # last tokens of the groups
         last_a = at[last_b]
@@ -138,7 +175,31 @@ class Codec:
         order[place_a], order[place_b] = ids_a, ids_b
         order[place_a[last_a]] += self.ids
         order[place_b[last_b]] += 2 * self.ids
-        return self.code(ids_a[last_a], ids_b[last_b]), "".join(map(self.words.__getitem__, order.tolist()))
+        words = list(map(self.words.__getitem__, order.tolist()))
+        codes = self.code(ids_a[last_a], ids_b[last_b]).tobytes()
+        links = (8 * (np.searchsorted(ends_a[last_a], ends) + 1)).tolist()
+        tokens = (stop_a + stop_b).tolist()
+        own_a, own_b = np.diff(stop_a, prepend=0).tolist(), np.diff(stop_b, prepend=0).tolist()
+        i = j = 0
+        for u, n_a, n_b, link, token in zip(units, own_a, own_b, links, tokens, strict=True):
+            yield u, (n_a, n_b, "".join(words[j:token])[:-1], codes[i:link])
+            i, j = link, token
+
+
+_CODECS: dict[str, Codec] = {}
+
+
+def codec_of(definition: str, model: bytes) -> Codec:
+    """The codec of a worker, with what it remembers from its earlier tasks; only the last one is kept."""
+    name = hashlib.sha256(definition.encode() + model).hexdigest()
+    if name not in _CODECS:
+        _CODECS.clear()
+        _CODECS[name] = Codec(definition, model)
+    return _CODECS[name]
+
+
+#: Numbers of A's and B's tokens, the groups' text, the linked pairs; none if the bytes differ.
+Unit = tuple[int, int, str, bytes] | None
 
 
 class Run:
@@ -156,22 +217,22 @@ class Run:
     def full(self) -> bool:
         return self.records >= RUN_RECORDS or len(self.rows) >= RUN_DOCS
 
-    def add(self, parts: Iterator[tuple[str, list[int], list[int]]]) -> None:
-        """A document by its parts (text, A's ids, B's ids)."""
+    def add(self, parts: Iterator[list[Unit]]) -> None:
+        """A document by the units of its parts."""
         n_a = n_b = n_links = 0
         digest, groups, codes = hashlib.sha256(), [], []
-        held = ""  # the last group's end, which the text ends without
-        for text, a, b in parts:
-            found = self.codec.linked(text, a, b)
-            if found is None:
-                n_a, codes = 0, []
+        for units in parts:
+            if None in units:
+                n_a = 0
                 break
-            n_a, n_b, n_links = n_a + len(a), n_b + len(b), n_links + len(found[0])
-            digest.update((held + found[1][:-1]).encode())
+            sizes_a, sizes_b, texts, links = zip(*units, strict=True)
+            text = (";" if codes else "") + ";".join(texts)
+            digest.update(text.encode())
             if self.keep_groups:
-                groups.append(held + found[1][:-1])
-            held = ";"
-            codes.append(np.unique(found[0], return_counts=True))
+                groups.append(text)
+            own = np.frombuffer(b"".join(links), np.int64)
+            n_a, n_b, n_links = n_a + sum(sizes_a), n_b + sum(sizes_b), n_links + len(own)
+            codes.append(np.unique(own, return_counts=True))
         if not n_a:
             self.rows.append((0, 0, 0, 0, "", "" if self.keep_groups else None))
             return
@@ -267,7 +328,7 @@ def runs_of(definition: str, model: bytes, schema: pa.Schema, keep_groups: bool)
     """A partition's texts as documents and pieces of runs."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(definition, model)
+        codec = codec_of(definition, model)
         part, made = TaskContext.get().partitionId(), 0
         run = Run(codec, f"{part:08d}-{made:08d}", keep_groups)
         for batch in batches:
@@ -284,11 +345,13 @@ def runs_of(definition: str, model: bytes, schema: pa.Schema, keep_groups: bool)
                 some = [t.as_py() for t in texts[at:end]]
                 run.keys.append(keys.take(pa.array(range(at, end), pa.int64())))
                 if len(some) == 1:
-                    parts = codec.parts(some[0]) if some[0] else ()
-                    run.add((p, *ids) for p in parts for ids in codec.encode([p]))
+                    parts = (codec.units(p) for p in codec.parts(some[0]) if p)
+                    run.add([own[u] for u in units] for units in parts for own in [codec.learned(units)])
                 else:
-                    for text, ids in zip(some, codec.encode(some), strict=True):
-                        run.add(iter([(text, *ids)] if text else []))
+                    texts_units = [codec.units(t) if t else [] for t in some]
+                    own = codec.learned([u for units in texts_units for u in units])
+                    for units in texts_units:
+                        run.add(iter([[own[u] for u in units]] if units else []))
                 at = end
                 if run.full:
                     yield from run.written(schema)

@@ -134,19 +134,46 @@ def test_parts_of_long_texts(plain, monkeypatch):
     with open(FILE_A) as a, open(FILE_B, "rb") as b:
         codec = ta.Codec(a.read(), b.read())
     assert codec.cuttable
-    text = LONG[:30_000] + "  two  blanks. Don't x y z. " + "é " * 300 + "word " * 200
-    whole = ta.Run(codec, "a", True)
-    whole.add(iter([(text, *next(codec.encode([text])))]))
+    text = LONG[:30_000] + "  two  blanks. Don't x y z. \x1c 　 a \u2028 b" + "é " * 300 + "word " * 200
+    plain_row = brute(plain, [(1, text)])[0][0]
+
+    def run_of(parts):
+        run = ta.Run(codec, "a", True)
+        run.add([codec.learned(u)[x] for x in u] for u in map(codec.units, parts))
+        return run
+
+    whole = run_of([text])
+    assert whole.rows == [(*plain_row[1:5], *plain_row[7:])]
+    codec.cuttable = False
+    assert run_of([text]).rows == whole.rows
+    codec.cuttable = True
     for size in (1, 40, 3000):
         monkeypatch.setattr(ta, "PART_CHARS", size)
-        run = ta.Run(codec, "b", True)
         parts = list(codec.parts(text))
-        assert len(parts) > 3 and " ".join(parts) == text
-        run.add((p, *ids) for p in parts for ids in codec.encode([p]))
+        assert len(parts) > 8 and " ".join(parts) == text
+        run = run_of(parts)
         assert run.rows == whole.rows
         assert run.codes[0].tolist() == whole.codes[0].tolist() and (run.shares[0] == whole.shares[0]).all()
 
 
+def test_units_forgotten_and_remembered(plain, monkeypatch):
+    """Whatever is remembered, units have the same tokens; those that do not give back their bytes have none."""
+    with open(FILE_A) as a, open(FILE_B, "rb") as b:
+        codec = ta.Codec(a.read(), b.read())
+    monkeypatch.setattr(ta, "MEMORY", 20)
+    monkeypatch.setattr(ta, "LONGEST_UNIT", 9)
+    words = [f"w{i % 37}" for i in range(300)] + ["a▁b", "verylongword" * 9, "é"]
+    for i in range(0, len(words), 11):
+        some = words[i : i + 11]
+        own = codec.learned(some)
+        for w in some:
+            groups, _ = aligned(plain, w)
+            assert (own[w] is None) == (not groups)
+            if groups:
+                assert own[w][2] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+    assert len(codec.known) <= 40
+
+
 def test_streams_are_merged_in_order():
     import numpy as np
 
