@@ -9,7 +9,7 @@ from stocklens.functions import count_where, epoch_millis, sum_long, sum_money
 from stocklens.operators.filters import (
     NO_FILTERS, Filters, or_key, or_unknown, rolled_up, with_dims,
 )
-from stocklens.operators.mart import Tables
+from stocklens.operators.mart import Tables, one_row
 from stocklens.operators.reports import above_max, below_reorder
 
 ALL = "WRCBK"
@@ -21,7 +21,7 @@ def latest_kpi(t: Tables, f: Filters, value: Column, need: tuple[str, ...] = ())
 
 
 def latest_snapshot_millis(t: Tables) -> DataFrame:
-    return t.snapshot.agg(epoch_millis(F.max("snapshot_date")).alias("value"))
+    return one_row(t, epoch_millis(t.newest_day()).alias("value"))
 
 
 def on_hand_total(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.functions import count_where, sum_long, sum_money, timestamp_lit
 from stocklens.operators.filters import NO_FILTERS, Filters, in_range, rolled_up, with_dims
-from stocklens.operators.mart import Tables
+from stocklens.operators.mart import Tables, one_row
 
 ALL = "WRCBK"
 
@@ -22,18 +21,20 @@ def negative_stock_rows(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
 
 def snapshot_lag_hours(t: Tables, f: Filters, now: datetime) -> DataFrame:
     """Whole hours since the newest landed snapshot row; NULL without rows."""
-    landed = F.max("ingestion_time").alias("newest")
-    newest = rolled_up(t.snapshot, t, f, ALL, [], [landed]).agg(F.max("newest").alias("newest"))
+    if f == NO_FILTERS:
+        newest = one_row(t, t.newest_landing("snapshot").alias("newest"))
+    else:
+        landed = F.max("ingestion_time").alias("newest")
+        newest = rolled_up(t.snapshot, t, f, ALL, [], [landed]).agg(F.max("newest").alias("newest"))
     seconds = F.unix_timestamp(timestamp_lit(now)) - F.unix_timestamp("newest")
     return newest.select(F.floor(seconds / 3600).cast("bigint").alias("snapshot_lag_hours"))
 
 
 def last_ingestion_millis(t: Tables) -> DataFrame:
-    """Newest landing time of the five facts. Each fact is reduced before the union."""
-    facts = [t.snapshot, t.movement, t.po_lines, t.sales_lines, t.stock_counts]
-    newest = [df.agg(F.max("ingestion_time").alias("newest")) for df in facts]
-    millis = F.unix_millis(F.max("newest")).alias("last_mart_ingestion_time")
-    return reduce(DataFrame.unionAll, newest).agg(millis)
+    """Newest landing time of the five facts."""
+    facts = ["snapshot", "movement", "po_lines", "sales_lines", "stock_counts"]
+    newest = F.greatest(*[t.newest_landing(field) for field in facts])
+    return one_row(t, F.unix_millis(newest).alias("last_mart_ingestion_time"))
 
 
 def data_quality_summary(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:

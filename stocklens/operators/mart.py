@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.schemas import MART
@@ -32,6 +32,17 @@ class Tables:
         """
         return latest_rows(self.snapshot)
 
+    def newest_day(self) -> Column:
+        """The newest snapshot date, NULL without a snapshot."""
+        return self.snapshot.agg(F.max("snapshot_date")).scalar()
+
+    def row_count(self, field: str) -> Column:
+        return getattr(self, field).agg(F.count(F.lit(1))).scalar()
+
+    def newest_landing(self, field: str) -> Column:
+        """When the newest row of a fact landed, NULL without rows."""
+        return getattr(self, field).agg(F.max("ingestion_time")).scalar()
+
     def last_moves(self) -> DataFrame:
         """Date of the last movement of every warehouse and SKU."""
         return last_moves(self.movement)
@@ -61,6 +72,16 @@ def latest_rows(snapshot: DataFrame) -> DataFrame:
     return snapshot.filter(F.col("snapshot_date") == newest)
 
 
+def one_row(t: Tables, *columns: Column) -> DataFrame:
+    """One row of values that hold for whole tables."""
+    return t.date.sparkSession.range(1).select(*columns)
+
+
+def mart_counts(t: Tables) -> DataFrame:
+    """One row with the row count of every mart table."""
+    return one_row(t, *[t.row_count(field).alias(name) for field, name in TABLE_NAMES.items()])
+
+
 def last_moves(movement: DataFrame) -> DataFrame:
     newest = F.max("event_date").alias("last_event_date")
     return movement.groupBy("warehouse_id", "sku_id").agg(newest)

@@ -53,10 +53,11 @@ def population(tables: dict[str, DataFrame]) -> DataFrame:
 def assert_populated(tables: dict[str, DataFrame]) -> DataFrame:
     """Counts of all tables; raises when one of them is empty."""
     counts = population(tables)
-    empty = [r.tbl for r in counts.filter(~F.col("populated")).collect()]
+    found = counts.collect()  # one row for each table
+    empty = [r.tbl for r in found if not r.populated]
     if empty:
         raise ValueError(f"empty tables: {', '.join(empty)}")
-    return counts
+    return counts.sparkSession.createDataFrame(found, counts.schema)
 
 
 def reconcile_counts(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stocklens.functions import count_where, not_below_zero, ratio, sum_long, sum_money
 from stocklens.functions import timestamp_lit
 from stocklens.operators.filters import NO_FILTERS, or_key, with_dims
-from stocklens.operators.mart import Tables
+from stocklens.operators.mart import Tables, one_row
 from stocklens.plans.layout import since
 
 MAX_SQL_ROWS = 200
@@ -41,7 +41,7 @@ def above_max(available: str = "available_qty") -> Column:
 
 
 def latest_snapshot_date(t: Tables) -> DataFrame:
-    return t.snapshot.agg(F.max("snapshot_date").alias("snapshot_date"))
+    return one_row(t, t.newest_day().alias("snapshot_date"))
 
 
 def product_dim(t: Tables) -> DataFrame:
@@ -223,14 +223,10 @@ def dashboard_summary(t: Tables) -> dict[str, DataFrame]:
 
 def health(t: Tables) -> DataFrame:
     """Latest snapshot date and row counts, one row."""
-    stock = t.snapshot.agg(
-        F.max("snapshot_date").alias("latest_snapshot_date"),
-        F.count(F.lit(1)).alias("snapshot_rows"),
-    )
-    moved = t.movement.agg(F.count(F.lit(1)).alias("movement_rows"))
-    return stock.select(
-        F.lit(True).alias("ok"), "latest_snapshot_date", "snapshot_rows",
-        moved.scalar().alias("movement_rows"),
+    return one_row(
+        t, F.lit(True).alias("ok"), t.newest_day().alias("latest_snapshot_date"),
+        t.row_count("snapshot").alias("snapshot_rows"),
+        t.row_count("movement").alias("movement_rows"),
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -10,8 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-POINTER = "_current"
-
+from stocklens.plans.manifest import arranged, publish, read_manifest, read_table
 
 def with_month(df: DataFrame, date_col: str) -> DataFrame:
     return df.withColumn("month", F.date_format(date_col, "yyyy-MM"))
@@ -32,15 +30,6 @@ def between(df: DataFrame, date_col: str, first: date, last: date) -> DataFrame:
     return out
 
 
-def _arranged(df: DataFrame, partition_col: str, sort_cols: Sequence[str]) -> DataFrame:
-    """Rows of one partition value side by side, sorted.
-
-    The rebalance hint lets the adaptive planner cut a partition value that holds far more than
-    its share into several files and put small ones together.
-    """
-    return df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, *sort_cols)
-
-
 def write_layer(
     df: DataFrame, path: str, date_col: str | None = None, sort_cols: Sequence[str] = ()
 ) -> None:
@@ -48,13 +37,13 @@ def write_layer(
     if date_col is None:
         df.write.mode("overwrite").parquet(path)
         return
-    rows = _arranged(with_month(df, date_col), "month", sort_cols)
+    rows = arranged(with_month(df, date_col), "month", sort_cols)
     rows.write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def write_by_day(df: DataFrame, path: str, date_col: str, sort_cols: Sequence[str]) -> None:
     """Write a table with one partition per day, the unit that ``replace_window`` replaces."""
-    rows = _arranged(df, date_col, sort_cols)
+    rows = arranged(df, date_col, sort_cols)
     rows.write.mode("overwrite").partitionBy(date_col).parquet(path)
 
 
@@ -75,7 +64,7 @@ def replace_window(
     written = Observation()
     rows = rows.observe(written, F.collect_set(date_col).alias("days"))  # one entry per day
     (
-        _arranged(rows, date_col, sort_cols)
+        arranged(rows, date_col, sort_cols)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col)
@@ -91,32 +80,13 @@ def replace_window(
             fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{date_col}={day}"), True)
 
 
-def _file_context(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return jvm, jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf), conf
-
-
-def _read_pointer(spark: SparkSession, path: str) -> list[str]:
-    """Names of the current version and of the one before it."""
-    jvm, context, _ = _file_context(spark, path)
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}")
-    if not context.util().exists(pointer):
-        return []
-    stream = context.open(pointer)
-    try:
-        return stream.readUTF().split(" ")
-    finally:
-        stream.close()
-
-
 def swap_overwrite(
     df: DataFrame,
     path: str,
     date_col: str | None = None,
     sort_cols: Sequence[str] = (),
     by_day: bool = False,
+    state: str = "",
 ) -> str:
     """Build the new table beside the old one, then repoint readers in one rename.
 
@@ -124,38 +94,23 @@ def swap_overwrite(
     version before the old one is removed; the old one stays for readers that still scan it.
     Returns the path of the new version.
     """
-    spark = df.sparkSession
-    name = f"v={uuid.uuid4().hex}"
-    target = f"{path}/{name}"
-    if by_day and date_col:
-        write_by_day(df, target, date_col, sort_cols)
+    if date_col is None:
+        held = publish(df, path, state=state)
+    elif by_day:
+        held = publish(df, path, date_col, date_col, sort_cols, state)
     else:
-        write_layer(df, target, date_col, sort_cols)
-    held = _read_pointer(spark, path)
-    jvm, context, conf = _file_context(spark, path)
-    hadoop_path = jvm.org.apache.hadoop.fs.Path
-    beside = hadoop_path(f"{path}/{POINTER}.{uuid.uuid4().hex}")
-    stream = beside.getFileSystem(conf).create(beside, True)
-    stream.writeUTF(" ".join([name, *held[:1]]))
-    stream.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context.rename(beside, hadoop_path(f"{path}/{POINTER}"), options)
-    for old in held[1:]:
-        context.delete(hadoop_path(f"{path}/{old}"), True)
-    return target
+        held = publish(with_month(df, date_col), path, "month", date_col, sort_cols, state)
+    return f"{path}/{held.whole}"
 
 
 def current_path(spark: SparkSession, path: str) -> str:
     """Path of the version that readers of a swapped table see."""
-    held = _read_pointer(spark, path)
-    if not held:
+    held = read_manifest(spark, path)
+    if held is None:
         raise FileNotFoundError(f"no published version under {path}")
-    return f"{path}/{held[0]}"
+    return f"{path}/{held.whole}"
 
 
 def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The table as its readers see it. A declared schema also reads a table without rows."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(current_path(spark, path))
+    return read_table(spark, path, schema)

@@ -10,15 +10,18 @@ from __future__ import annotations
 import hashlib
 import tempfile
 from collections.abc import Callable
-from functools import cached_property
+from functools import cache, cached_property
+from importlib import resources
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stocklens.functions import timestamp_lit
 from stocklens.operators import mart, staging
 from stocklens.operators.derive import build_snapshot
-from stocklens.operators.mart import TABLE_NAMES, Tables, last_moves, latest_rows
-from stocklens.plans.layout import overwrite, read_current, swap_overwrite, with_month
+from stocklens.operators.mart import TABLE_NAMES, Tables, last_moves
+from stocklens.plans.layout import swap_overwrite, with_month
+from stocklens.plans.manifest import Manifest, read_manifest, read_table
 from stocklens.sources.trade_tables import AS_OF, INGESTED, TradeTables, sample_shelf_rule
 
 SNAPSHOT_DAYS = 120
@@ -135,33 +138,69 @@ def shared_folder(spark: SparkSession) -> str:
 _local_folder: str | None = None
 
 
+def stored(spark: SparkSession, path: str, state: str, write: Callable[[], None]) -> Manifest:
+    """The table at a path, written only if no application has written it from this source state."""
+    held = read_manifest(spark, path)
+    if held is None or held.state != state:
+        write()
+        held = read_manifest(spark, path)
+    return held
+
+
 class StoredTradeTables(TradeTables):
     """Trade tables whose joined lines are written once, since five tables of the mart read them."""
 
+    state = ""
+
     @cached_property
     def lines(self) -> DataFrame:
         target = f"{self.root}/source_lines"
         joined = super().lines
-        overwrite(joined, target)
-        return self.spark.read.schema(joined.schema).parquet(target)
+        held = stored(
+            self.spark, target, self.state, lambda: swap_overwrite(joined, target, state=self.state)
+        )
+        return read_table(self.spark, target, joined.schema, manifest=held)
 
 
 class PublishedMart:
-    """The mart as written tables; the same attributes as ``Tables``."""
+    """The mart as written tables; the same attributes as ``Tables``.
 
-    def __init__(self, src: TradeTables, root: str):
+    Counts and newest values come from the manifests, which hold what was gathered while writing.
+    """
+
+    def __init__(self, src: TradeTables, root: str, state: str = ""):
         self.src = src
         self.root = root
+        self.state = state
         self.spark = src.spark
+        self.manifests: dict[str, Manifest] = {}
 
     def publish(self, name: str) -> DataFrame:
+        """A mart table, written unless an application has done so from the same source state."""
         path = f"{self.root}/{TABLE_NAMES[name]}"
         date_col, sort_cols, by_day = LAYOUT.get(name, (None, [], False))
         frame = self.frame(name)
-        swap_overwrite(frame, path, date_col, sort_cols, by_day)
+        held = stored(
+            self.spark, path, self.state,
+            lambda: swap_overwrite(frame, path, date_col, sort_cols, by_day, self.state),
+        )
+        self.manifests[name] = held
         by_month = date_col is not None and not by_day
         schema = with_month(frame, date_col).schema if by_month else frame.schema
-        return read_current(self.spark, path, schema)
+        return read_table(self.spark, path, schema, manifest=held)
+
+    def manifest(self, name: str) -> Manifest:
+        getattr(self, name)
+        return self.manifests[name]
+
+    def newest_day(self) -> Column:
+        return F.lit(self.manifest("snapshot").last).cast("date")
+
+    def row_count(self, field: str) -> Column:
+        return F.lit(self.manifest(field).rows).cast("long")
+
+    def newest_landing(self, field: str) -> Column:
+        return F.timestamp_micros(F.lit(self.manifest(field).landed).cast("long"))
 
     def frame(self, name: str) -> DataFrame:
         """What a mart table is written from. The snapshot reads the published movements."""
@@ -210,14 +249,17 @@ class PublishedMart:
         return self.publish("date")
 
     def latest_snapshot(self) -> DataFrame:
-        return latest_rows(self.snapshot)
+        """Rows of the newest day; the day is a literal, so one partition's files are opened."""
+        return self.snapshot.filter(F.col("snapshot_date") == self.newest_day())
 
     @cached_property
     def _last_moves(self) -> DataFrame:
         path = f"{self.root}/last_movement"
         moves = last_moves(self.movement)
-        swap_overwrite(moves, path)
-        return read_current(self.spark, path, moves.schema)
+        held = stored(
+            self.spark, path, self.state, lambda: swap_overwrite(moves, path, state=self.state)
+        )
+        return read_table(self.spark, path, moves.schema, manifest=held)
 
     def last_moves(self) -> DataFrame:
         """As in ``Tables``, but rolled up once: aging panels need not scan all movements."""
@@ -225,26 +267,38 @@ class PublishedMart:
 
 
 def _state_of(spark: SparkSession, path: str) -> str:
-    """Names, sizes and times of the source files: a changed source is read again."""
+    """Names, sizes and times of the source files, also of inner ones: a changed source is read again."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    listed = [
-        f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}"
-        for s in fs.listStatus(folder)
-    ]
+    found, listed = fs.listFiles(folder, True), []
+    while found.hasNext():
+        s = found.next()
+        listed.append(f"{s.getPath()}:{s.getLen()}:{s.getModificationTime()}")
     return hashlib.sha256("|".join(sorted(listed)).encode()).hexdigest()[:16]
 
 
+@cache
+def _code_state() -> str:
+    """Digest of this library's code: tables of another version of it are not taken over."""
+    package = resources.files("stocklens")
+    texts = []
+    for part in ("functions", "operators", "plans", "sources"):
+        texts += [f.read_bytes() for f in sorted(package.joinpath(part).iterdir(), key=str) if f.name.endswith(".py")]
+    return hashlib.sha256(b"".join(texts)).hexdigest()[:12]
+
+
 _published: dict[tuple[str, str, str], PublishedMart] = {}
 
 
 def published_mart(spark: SparkSession, path: str) -> PublishedMart:
-    """The mart of one source directory, published at most once per application."""
+    """The mart of one source directory, published once for all applications that share the folder."""
     state = _state_of(spark, path)
     key = (spark.sparkContext.applicationId, path, state)
     if key not in _published:
         digest = hashlib.sha256(path.encode()).hexdigest()[:12]
-        root = f"{shared_folder(spark)}/stocklens/{key[0]}/{digest}-{state}"
-        _published[key] = PublishedMart(StoredTradeTables(spark, path, root), root)
+        root = f"{shared_folder(spark)}/stocklens/mart/{digest}-{state}-{_code_state()}"
+        src = StoredTradeTables(spark, path, root)
+        src.state = state
+        _published[key] = PublishedMart(src, root, state)
     return _published[key]
