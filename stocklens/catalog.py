@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from stocklens.functions import timestamp_lit
 from stocklens.operators import conversations as talk
-from stocklens.operators import derive, filters, quality, reports, staging
+from stocklens.operators import derive, filters, planning, quality, reports, staging
+from stocklens.operators.access import ACCESS, restricted
 from stocklens.operators.dashboards import (
     aging,
     executive,
@@ -22,7 +23,8 @@ from stocklens.operators.dashboards import (
     stock,
 )
 from stocklens.operators.filters import NO_FILTERS, Filters
-from stocklens.operators.mart import TABLE_NAMES, conform, mart_counts, mart_frames
+from stocklens.operators.mart import TABLE_NAMES, Tables, conform, mart_counts, mart_frames
+from stocklens.oracle import extensions as ox
 from stocklens.oracle import layers as ol
 from stocklens.oracle import panels as op
 from stocklens.oracle.base import LOW, OVER, cash, count_if, long, query
@@ -43,6 +45,7 @@ from stocklens.schemas import MESSAGES
 from stocklens.sources import extract, topics
 from stocklens.sources.trade_tables import AS_OF, INGESTED, NOW, TradeTables, sample_shelf_rule
 from stocklens.streaming.landing import start_landing, start_rejects, stream_refresh
+from stocklens.streaming.rollup import ROLLUP, start_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -687,12 +690,96 @@ def _register_i() -> None:
     of("i7_snippets", talk.snippets, ol.snippets())
 
 
+# --- X: planning figures, restriction, roll-up stream -----------------------------------------
+
+
+def delivered_events(src: TradeTables) -> DataFrame:
+    """The event log as six deliveries of five days: some events come a delivery late, some far too late, and
+    some twice, soon or far too late."""
+    rows = src.numbered_events
+    day = F.least(F.datediff("event_time", rows.agg(F.min("event_time")).scalar()), F.lit(29))
+    kind, slot = F.col("event_id") % 10, F.floor(day / 5).cast("int")
+    soon, far = (day % 5 >= 3) & (slot < 5), slot + 3 <= 5
+    slots = (
+        F.when((kind == 1) & soon, F.array(slot + 1)).when((kind == 2) & far, F.array(slot + 3))
+        .when((kind == 3) & soon, F.array(slot, slot + 1)).when((kind == 4) & far, F.array(slot, slot + 3))
+        .otherwise(F.array(slot))
+    )
+    fields = ["event_id", "warehouse_id", "sku_id", "qty_change", "event_time"]
+    value = F.to_json(F.struct(*fields), {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    return rows.select(value.alias("value"), F.explode(slots).alias("delivery"))
+
+
+def rolled_up_events(src: TradeTables) -> DataFrame:
+    """Closed windows of the event log; the stream stops and starts again with each delivery."""
+    folder = work_folder(src.spark, "rollup")
+    overwrite(delivered_events(src), f"{folder}/deliveries")
+    sent = src.spark.read.parquet(f"{folder}/deliveries")
+    for delivery in range(6):
+        sent.filter(F.col("delivery") == delivery).select("value").write.mode("append").text(
+            f"{folder}/inventory_topic"
+        )
+        messages = topics.read_topic(src.spark, "inventory_topic", folder=folder)
+        start_rollup(messages, f"{folder}/totals", f"{folder}/checkpoint").awaitTermination()
+    return src.spark.read.schema(ROLLUP).parquet(f"{folder}/totals")
+
+
+def turnaround(src: TradeTables) -> DataFrame:
+    """Exact quantiles, and whether the sketched ones are within a hundredth of their rank."""
+    rows = planning.transfer_turnaround(src.transfers)
+    return rows.select(
+        "from_warehouse_id", "to_warehouse_id", "completed", "open", "p50_days", "p90_days",
+        ((F.col("p50_off") <= 0.01) & (F.col("p90_off") <= 0.01)).alias("within_bound"),
+    )
+
+
+def planted_snapshot(snapshot: DataFrame) -> DataFrame:
+    """The snapshot with some days of some products taken out and some written twice."""
+    number, day = F.substring("sku_id", 5, 9).cast("int"), F.col("snapshot_date")
+    missing = (F.col("warehouse_id") == "WH01") & ((number + F.dayofyear(day)) % 17 < 3)
+    twice = (number % 23 == 5) & (F.dayofmonth(day) == 15)
+    return snapshot.filter(~missing).unionAll(snapshot.filter(twice))
+
+
+def seen_by(t: PublishedMart, user: str) -> Tables:
+    """The mart as users of the sample access table see it."""
+    rights = [("anna", "region", "ASIA"), ("boris", "warehouse", "WH01"), ("boris", "region", "EUROPE"), ("chief", "all", "")]
+    access = t.spark.createDataFrame(rights, ACCESS)
+    return restricted(t, access, user, t.src.sales_orders, t.src.purchase_orders)
+
+
+def _register_x() -> None:
+    _mart("x2_turnover", lambda t: planning.turnover(
+        t.movement, t.sales_lines, t.src.sku_costs, t.product, AS_OF, SNAPSHOT_DAYS), ox.turnover())
+    _source("x5_transfer_turnaround", turnaround, ox.transfer_turnaround())
+    _mart("x6_month_over_month", lambda t: planning.month_over_month(t.snapshot), ox.month_over_month())
+    _mart("x7_movement_margins", lambda t: planning.movement_margins(t.movement, t.product), ox.movement_margins())
+    _mart("x9_snapshot_issues", lambda t: planning.snapshot_issues(
+        planted_snapshot(t.snapshot.select("snapshot_date", "warehouse_id", "sku_id")), t.warehouse, t.product,
+        AS_OF - timedelta(days=SNAPSHOT_DAYS), AS_OF), ox.snapshot_issues())
+    asia, some, nobody = Filters(region=("ASIA",)), "(w.region = 'EUROPE' OR s.warehouse_id = 'WH01')", "nobody"
+    _mart("x10_status_of_region", lambda t: stock.status_distribution(seen_by(t, "anna")), op.status_distribution(asia))
+    _mart("x10_flow_of_region", lambda t: movement.inbound_outbound(seen_by(t, "anna"), NO_FILTERS, AS_OF),
+          op.inbound_outbound(asia))
+    _mart("x10_on_hand_of_sites", lambda t: executive.on_hand_total(seen_by(t, "boris")),
+          op.kpi(long(f"CASE WHEN {some} THEN s.on_hand_qty END")))
+    _mart("x10_on_hand_of_all", lambda t: executive.on_hand_total(seen_by(t, "chief")), op.kpi(long("s.on_hand_qty")))
+    _mart("x10_on_hand_without_rights", lambda t: executive.on_hand_total(seen_by(t, nobody)),
+          "SELECT cast(0 AS bigint) AS value")
+    _mart("x10_readonly_sql", lambda t: reports.readonly_sql(
+        t.spark, "SELECT warehouse_id, count(*) AS n FROM fact_stock_counts GROUP BY warehouse_id",
+        mart_frames(seen_by(t, "anna"))), query(
+        """SELECT c.warehouse_id, count(*) AS n FROM stock_counts c JOIN warehouse w ON w.warehouse_id = c.warehouse_id
+        WHERE w.region = 'ASIA' GROUP BY 1"""))
+    _source("x11_stream_rollup", rolled_up_events, ox.rollup())
+
+
 @cache
 def entries() -> dict[str, tuple[Query, str | None]]:
     for register in (
         _register_a, _register_b_c, _register_d, _register_e, _register_f, _register_g1,
         _register_g2, _register_g3, _register_g4, _register_g5, _register_g6_g7, _register_h,
-        _register_i,
+        _register_i, _register_x,
     ):
         register()
     return dict(_entries)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -250,11 +251,67 @@ def check_readonly(sql: str) -> str:
     return statement
 
 
+def _below(plan) -> Iterator:
+    """A logical plan's nodes, those of subqueries and common table expressions included."""
+    yield plan
+    for nodes in (plan.children(), plan.innerChildren()):
+        for i in range(nodes.size()):
+            yield from _below(nodes.apply(i))
+
+
+def _words(names) -> list[str]:
+    return [names.apply(i) for i in range(names.size())]
+
+
+def check_relations(spark: SparkSession, statement: str, views: Iterable[str]) -> None:
+    """ValueError unless a statement reads the given views alone.
+
+    The statement is parsed, not run, and every relation that its plan names is compared: other
+    tables, files by path and table functions (but ``range``, which reads nothing) are refused, and
+    so are functions that call into the process.
+    """
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    named: set[str] = set()
+    used: list[list[str]] = []
+    for node in _below(plan):
+        kind = node.getClass().getSimpleName()
+        if kind == "UnresolvedWith":
+            ctes = node.cteRelations()
+            named |= {ctes.apply(i)._1().lower() for i in range(ctes.size())}
+        elif kind in ("UnresolvedRelation", "UnresolvedTableOrView", "UnresolvedTable", "UnresolvedView"):
+            used.append(_words(node.multipartIdentifier()))
+        elif kind == "UnresolvedTableValuedFunction":
+            if [w.lower() for w in _words(node.name())] != ["range"]:
+                raise ValueError("table functions are not allowed")
+    # A name of a common table expression also resolves outside of it, so it must not be a table's.
+    if hidden := [n for n in named if spark.catalog.tableExists(n)]:
+        raise ValueError(f"name in use: {', '.join(sorted(hidden))}")
+    allowed = {v.lower() for v in views} | named
+    for parts in used:
+        if len(parts) != 1 or parts[0].lower() not in allowed:
+            raise ValueError(f"not a view of this layer: {'.'.join(parts)}")
+    if re.search(r"\b(try_)?(reflect|java_method)\b", statement, re.IGNORECASE):
+        raise ValueError("only read-only statements are allowed")
+
+
 def readonly_sql(
     spark: SparkSession, sql: str, views: dict[str, DataFrame] | None = None
 ) -> DataFrame:
-    """Run one read-only statement over the layer views; at most 200 rows come back."""
+    """Run one read-only statement over the layer views; at most 200 rows come back.
+
+    The views exist while the statement is analysed and leave no trace in the session.
+    """
     statement = check_readonly(sql)
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(statement).limit(MAX_SQL_ROWS)
+    views = views or {}
+    check_relations(spark, statement, views)
+    held = {n: spark.table(n) for n in views if any(t.isTemporary and t.name == n.lower() for t in spark.catalog.listTables())}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(statement).limit(MAX_SQL_ROWS)
+    finally:
+        for name in views:
+            if name in held:
+                held[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)

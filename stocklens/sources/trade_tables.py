@@ -305,12 +305,23 @@ class TradeTables:
             F.col("q").alias("qty"),
         )
 
+    @cached_property
+    def numbered_events(self) -> DataFrame:
+        """Movements of the event log with their event numbers, errors left out."""
+        rows = self.movements_of(self.table("events"), "event_id")
+        return rows.filter(F.col("qty_change").isNotNull())
+
     @cached_property
     def event_movements(self) -> DataFrame:
         """Movement messages read from the event log; error events have no quantity."""
+        return self.movements_of(self.table("events"))
+
+    @staticmethod
+    def movements_of(events: DataFrame, *more: str) -> DataFrame:
         kind = F.col("event_type")
         amount = F.ceil("value").cast("int")
-        return self.table("events").select(
+        return events.select(
+            *more,
             F.concat(F.lit("WH0"), (F.col("user_id") % 5 + 1).cast("string")).alias("warehouse_id"),
             sku_key(F.get_json_object("props", "$.k")).alias("sku_id"),
             F.when(kind.isin("signup", "view"), amount)
