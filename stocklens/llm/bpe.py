@@ -15,7 +15,7 @@ looks across. Special tokens are shorter than the least window. If no clean plac
 is found, the window grows to the whole text, which is encoded as such.
 
 Inside a leaf, words between white space are independent (white space is dropped, no pattern
-crosses it), so each task remembers the tokens of words it has met, up to ``MEMORY`` of them.
+crosses it), so each worker remembers the tokens of words it has met, up to ``MEMORY`` of them.
 
 Defined results: null and empty texts have no tokens and decode to the empty text; repeated rows
 are encoded row by row; other columns are not read and may have any name.
@@ -30,9 +30,11 @@ import string
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,7 @@ from .common import settle, table, text_column
 LEAF_CHARS = 32_768
 WINDOW_CHARS = 64  # least window on either side of a seam; longer than any special token
 MEMORY = 100_000  # words that a task remembers before it starts anew, from what comes back
+BATCH_CHARS = 1 << 18  # short texts are encoded together up to this size
 LONGEST_WORD = 64  # longer words are encoded without being remembered
 #: White space of the Unicode standard.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -79,71 +82,74 @@ class Codec:
 
     def _learn(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
         """Encode ``words``; those that are not too long stay in memory."""
-        old = self.old_words
-        back = {w: old[w] for w in words if w in old}
-        parts = {w: pieces(w) for w in words if w not in back}
-        known = self.pieces
-        again = self.old_pieces
-        known.update((p, again[p]) for x in parts.values() for p in x if p not in known and p in again)
-        new = [p for p in dict.fromkeys(p for x in parts.values() for p in x) if p not in known]
-        found = {}
-        for piece, encoded in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-        ):
-            ids = encoded.ids
-            text = " ".join([self.tokens[i] for i in ids]) if self.joins_tokens else ""
-            found[piece] = (array("I", ids).tobytes(), text)
-        if found:
-            found |= {p: known[p] for x in parts.values() for p in x if p in known}
-        else:
-            found = known
-        out = back
-        for word, own in parts.items():
-            if len(own) == 1:
-                out[word] = found[own[0]]
-            else:
-                both = [found[p] for p in own]
-                out[word] = (b"".join([x[0] for x in both]), " ".join([x[1] for x in both]))
-        if found is not known:
-            known.update((p, x) for p, x in found.items() if len(p) <= LONGEST_WORD)
-        self.words.update((w, x) for w, x in out.items() if len(w) <= LONGEST_WORD)
-        if len(self.words) > MEMORY:
-            self.words, self.old_words = {}, self.words
-        if len(self.pieces) > MEMORY // 2:
-            self.pieces, self.old_pieces = {}, self.pieces
+        known, again, old, held = self.pieces, self.old_pieces, self.old_words, self.words
+        out, todo, new, long = {}, [], {}, {}
+        for word in words:
+            found = old.get(word)
+            if found is not None:
+                out[word] = held[word] = found
+                continue
+            own = pieces(word)
+            todo.append((word, own))
+            for piece in own:
+                if piece not in known:
+                    found = again.get(piece)
+                    if found is None:
+                        new[piece] = None
+                    else:
+                        known[piece] = found
+        tokens, joins = self.tokens, self.joins_tokens
+        encoded = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)
+        for piece, e in zip(new, encoded, strict=True):
+            ids = e.ids
+            text = " ".join([tokens[i] for i in ids]) if joins else ""
+            (known if len(piece) <= LONGEST_WORD else long)[piece] = array("I", ids).tobytes(), text
+        for word, own in todo:
+            found = known.get(own[0]) or long[own[0]]
+            if len(own) > 1:
+                more = known.get(own[1]) or long[own[1]]
+                found = found[0] + more[0], f"{found[1]} {more[1]}"
+            out[word] = found
+            if len(word) <= LONGEST_WORD:
+                held[word] = found
+        if len(held) > MEMORY:
+            self.words, self.old_words = {}, held
+        if len(known) > MEMORY // 2:
+            self.pieces, self.old_pieces = {}, known
         return out
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit numbers, and the decoded text."""
-        words = WORD.findall(text) if ODD_SPACE.search(text) else text.split()
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+        """For each text ids as little-endian 32-bit numbers, and the decoded text."""
+        split = [WORD.findall(t) if ODD_SPACE.search(t) else t.split() for t in texts]
         known = self.words
-        missing = [w for w in dict.fromkeys(words) if w not in known]
-        if missing:
-            own = {w: known[w] for w in words if w in known} | self._learn(missing)
-        else:
-            own = known
-        found = [own[w] for w in words]
-        ids = b"".join([x[0] for x in found])
-        if self.joins_tokens:
-            return ids, " ".join([x[1] for x in found if x[0]])
-        return ids, self.decode(np.frombuffer(ids, "<u4").tolist())
+        missing = [w for w in set(chain.from_iterable(split)) if w not in known]
+        learned = self._learn(missing) if missing else {}
+        long = {w: learned[w] for w in missing if len(w) > LONGEST_WORD}
+        for words in split:
+            found = [long[w] if w in long else known[w] for w in words] if long else [known[w] for w in words]
+            ids = b"".join([x[0] for x in found])
+            if self.joins_tokens:
+                yield ids, " ".join([x[1] for x in found if x[0]])
+            else:
+                yield ids, self.decode(np.frombuffer(ids, "<u4").tolist())
+
+    def encode(self, text: str) -> tuple[bytes, str]:
+        return next(self.encode_all([text]))
 
     def place(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and the place in ``text`` where each token starts."""
         ids, starts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        for m in WORD.finditer(text):
-            word = m[0]
-            known = self.placed.get(word)
-            if known is None:
-                found = self.tokenizer.encode(word, add_special_tokens=False)
-                known = (
-                    np.array(found.ids, np.uint32),
-                    np.array([o[0] for o in found.offsets], np.int64),
-                )
-                if len(word) <= LONGEST_WORD:
-                    if len(self.placed) >= MEMORY:
-                        self.placed.clear()
-                    self.placed[word] = known
+        found = list(WORD.finditer(text))
+        if len(self.placed) >= MEMORY:
+            self.placed = {}
+        placed = self.placed
+        new = [w for w in dict.fromkeys(m[0] for m in found) if w not in placed]
+        long = {}
+        for word, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            known = np.array(e.ids, np.uint32), np.array([o[0] for o in e.offsets], np.int64)
+            (placed if len(word) <= LONGEST_WORD else long)[word] = known
+        for m in found:
+            known = placed.get(m[0]) or long[m[0]]
             ids.append(known[0])
             starts.append(known[1] + m.start())
         return np.concatenate(ids), np.concatenate(starts)
@@ -185,6 +191,17 @@ class Codec:
         return leaves[0][1]
 
 
+_CODECS: dict[str, Codec] = {}
+
+
+def codec_of(definition: str) -> Codec:
+    """The codec of a worker, with the words of its earlier tasks; only the last one is kept."""
+    if definition not in _CODECS:
+        _CODECS.clear()
+        _CODECS[definition] = Codec(definition)
+    return _CODECS[definition]
+
+
 def pieces(word: str) -> tuple[str, ...]:
     """Parts of a word that the tokenizer treats on their own: letters and the ASCII punctuation
     that follows them, ASCII letters in lower case, as it sees them."""
@@ -273,12 +290,17 @@ def results(rows: list[tuple[bytes, str]], with_ids: bool) -> pa.Array:
 def whole(definition: str, with_ids: bool, text: Column) -> Column:
     @F.arrow_udf(RESULT)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(definition)
+        codec = codec_of(definition)
         for texts in batches:
-            rows = []
-            for t in texts:  # one text at a time as a Python string
-                ids, decoded = codec.encode(t.as_py())
-                rows.append((ids, digest(decoded)))
+            sizes, rows, at = pc.utf8_length(texts).to_pylist(), [], 0
+            while at < len(texts):  # some texts at a time as Python strings
+                end, total = at + 1, sizes[at]
+                while end < len(texts) and total + sizes[end] <= BATCH_CHARS:
+                    total += sizes[end]
+                    end += 1
+                found = codec.encode_all(texts.slice(at, end - at).to_pylist())
+                rows += [(ids, digest(decoded)) for ids, decoded in found]
+                at = end
             yield results(rows, with_ids)
 
     return of(text)
@@ -287,7 +309,7 @@ def whole(definition: str, with_ids: bool, text: Column) -> Column:
 def leaf(definition: str, text: Column) -> Column:
     @F.arrow_udf(LEAF)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(definition)
+        codec = codec_of(definition)
         for texts in batches:
             rows = [codec.place(t) for t in texts.to_pylist()]
             yield pa.StructArray.from_arrays(
@@ -304,7 +326,7 @@ def leaf(definition: str, text: Column) -> Column:
 def tree(definition: str, with_ids: bool, leaves: Column) -> Column:
     @F.arrow_udf(RESULT)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(definition)
+        codec = codec_of(definition)
         for lists in batches:
             rows = []
             for one in lists:
@@ -362,7 +384,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "token_ids", text: st
 
     @F.arrow_udf(T.StringType())
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(definition)
+        codec = codec_of(definition)
         for lists in batches:
             yield pa.array([codec.decode(x or []) for x in lists.to_pylist()], pa.string())
 
