@@ -24,6 +24,7 @@ are encoded row by row; other columns are not read and may have any name.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import string
@@ -43,7 +44,7 @@ from .common import settle, table, text_column
 
 LEAF_CHARS = 32_768
 WINDOW_CHARS = 64  # least window on either side of a seam; longer than any special token
-MEMORY = 100_000  # words that a task remembers before it starts anew, from what comes back
+MEMORY = 150_000  # words that a task remembers before it starts anew, from what comes back
 BATCH_CHARS = 1 << 18  # short texts are encoded together up to this size
 LONGEST_WORD = 64  # longer words are encoded without being remembered
 #: White space of the Unicode standard.
@@ -54,6 +55,8 @@ ODD_SPACE = re.compile("[\x1c-\x1f]")  # str.split() cuts there, the tokenizer d
 
 
 PUNCTUATION = string.punctuation
+#: Latin letters that stay one letter in lower case (U+0130 does not).
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
 
 class Codec:
@@ -70,6 +73,8 @@ class Codec:
         self.joins_tokens = self.tokenizer.decoder is None
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.tokens = [self.tokenizer.id_to_token(i) for i in range(size)] if self.joins_tokens else []
+        suffix = json.loads(definition).get("model", {}).get("end_of_word_suffix")
+        self.word_end = np.array([t.endswith(suffix) for t in self.tokens], bool) if suffix and self.tokens else None
         self.words: dict[str, tuple[bytes, str]] = {}
         self.pieces: dict[str, tuple[bytes, str]] = {}
         # What was met before the last clearing: words that come back are taken over from here.
@@ -99,9 +104,7 @@ class Codec:
                     else:
                         known[piece] = found
         tokens, joins = self.tokens, self.joins_tokens
-        encoded = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)
-        for piece, e in zip(new, encoded, strict=True):
-            ids = e.ids
+        for piece, ids in self._encoded(list(new)):
             text = " ".join([tokens[i] for i in ids]) if joins else ""
             (known if len(piece) <= LONGEST_WORD else long)[piece] = array("I", ids).tobytes(), text
         for word, own in todo:
@@ -114,10 +117,26 @@ class Codec:
                 held[word] = found
         if len(held) > MEMORY:
             self.words, self.old_words = {}, held
-        if len(known) > MEMORY // 2:
+        if len(known) > MEMORY:
             self.pieces, self.old_pieces = {}, known
         return out
 
+    def _encoded(self, new: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """Ids of each piece. Latin words are one word to the tokenizer, whose last token carries its
+        end: they are encoded as one text and told apart by these tokens."""
+        plain = [p for p in new if LATIN.fullmatch(p)] if self.word_end is not None else []
+        if plain:
+            found = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.flatnonzero(self.word_end[found]) + 1
+            if len(ends) == len(plain) and ends[-1] == len(found):
+                ids, first = found.tolist(), 0
+                for piece, end in zip(plain, ends.tolist(), strict=True):
+                    yield piece, ids[first:end]
+                    first = end
+                new = [p for p in new if not LATIN.fullmatch(p)]
+        for piece, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            yield piece, e.ids
+
     def encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """For each text ids as little-endian 32-bit numbers, and the decoded text."""
         split = [WORD.findall(t) if ODD_SPACE.search(t) else t.split() for t in texts]

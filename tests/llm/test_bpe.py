@@ -92,3 +92,15 @@ def test_edge_rows_and_round_trip(spark, plain):
     texts = sorted(r.text for r in bpe.decode(encoded, FILE).collect())
     assert texts == sorted(wanted(plain, t)[4] for _, t, *_ in EDGE)
     assert bpe.encode(no_docs(spark), FILE).count() == 0
+
+
+def test_latin_words_told_apart_in_one_text(plain, codec):
+    """Every Latin letter, alone and in words, has the tokens it has by itself; also those that are long."""
+    letters = [chr(c) for c in range(0x41, 0x250) if bpe.LATIN.fullmatch(chr(c))]
+    words = [*letters, *map("".join, zip(letters, letters[7:], letters[3:])), "a" * 500, "ÀÉ" * 90, "İx", "don't", "x1y"]
+    assert codec.word_end is not None and "İ" not in letters
+    for word, ids in codec._encoded(words):
+        assert list(ids) == plain.encode(word, add_special_tokens=False).ids, word
+    texts = ["".join(words[i : i + 3]) + " " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9)]
+    for text, (ids, _) in zip(texts, codec.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
