@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from functools import cache
 
@@ -33,6 +34,7 @@ from stocklens.plans.layout import overwrite, read_current, replace_window, writ
 from stocklens.plans.layout import write_layer
 from stocklens.plans.pipeline import (
     SNAPSHOT_DAYS,
+    STAGED,
     STAGING_TABLES,
     PublishedMart,
     published_mart,
@@ -219,17 +221,57 @@ def full_refresh(src: TradeTables) -> DataFrame:
 
 
 def replaced_window(t: PublishedMart) -> DataFrame:
-    """A snapshot whose last three days are deleted and written again."""
+    """A snapshot whose last three days, wrong at first, are replaced."""
     spark = t.spark
     path = work_folder(spark, "window")
     rows = t.snapshot.drop("created_at", "ingestion_time")
-    write_by_day(rows, path, "snapshot_date", ["warehouse_id", "sku_id"])
+    in_window = F.col("snapshot_date") >= F.lit(AS_OF - timedelta(days=2))
+    wrong = rows.withColumn("on_hand_qty", F.when(in_window, F.col("on_hand_qty") + 9).otherwise(F.col("on_hand_qty")))
+    absent = in_window & (F.col("warehouse_id") == "WH02")
+    write_by_day(wrong.filter(~absent), path, "snapshot_date", ["warehouse_id", "sku_id"])
     replace_window(
         rows, path, "snapshot_date", AS_OF - timedelta(days=2), AS_OF, ["warehouse_id", "sku_id"]
     )
     return spark.read.parquet(path)
 
 
+#: Raw facts: the time that polls go by, and the staging table.
+POLLED = {
+    "raw_inventory_transactions": ("event_time", "stg_inventory_transactions_clean"),
+    "raw_inventory_snapshot_daily": ("snapshot_date", "stg_inventory_snapshot_daily_clean"),
+    "raw_purchase_order_lines": ("created_at", "stg_purchase_order_lines_clean"),
+    "raw_sales_order_lines": ("created_at", "stg_sales_order_lines_clean"),
+    "raw_stock_counts": ("created_at", "stg_stock_counts_clean"),
+}
+
+
+def overlapping_polls(src: TradeTables, raw: str) -> DataFrame:
+    """A fact staged from two polls whose second reads the last days of the first again."""
+    time, staged = POLLED[raw]
+    rows = raw_frame(src, raw)
+    mark = datetime(2001, 6, 1)
+    first = rows.filter(F.col(time) <= timestamp_lit(mark))
+    second, _ = extract.incremental_read(rows, time, mark, overlap_seconds=20 * 86_400)
+    landed = IncrementalMart(src.spark, work_folder(src.spark, "polls"), src.sku_costs)
+    for poll in (first, second):
+        landed.upsert(raw, extract.with_row_key(poll), extract.ROW_KEY, time)
+    return STAGED[staged][1](landed.table(raw).select(*rows.columns))
+
+
+def published_topic(src: TradeTables) -> DataFrame:
+    """Stock counts sent to a topic and landed from it."""
+    folder, topic = work_folder(src.spark, "published"), "stock_counts_topic"
+    topics.write_topic(wire_rows(src, topic), topic, folder=folder)
+    return topics.land(src.spark.read.text(f"{folder}/{topic}"), topic, INGESTED)
+
+
+def lowered(t: PublishedMart) -> Tables:
+    """The mart with forty units less of everything, so that the monitors of negative stock fire."""
+    whole = Tables(**{name: getattr(t, name) for name in Tables.__dataclass_fields__})
+    less = (F.col("available_qty") - 40).cast("int")
+    return replace(whole, snapshot=t.snapshot.withColumn("available_qty", less))
+
+
 def refreshed_snapshot(t: PublishedMart) -> DataFrame:
     """The snapshot after three refreshes: most movements up to a day ten days ago, all of the days since,
     and then the rows of some products that are late, of any day."""
@@ -282,6 +324,12 @@ def _register_a() -> None:
     _mart("a13_swapped_table", lambda t: read_current(
         t.spark, f"{t.root}/{TABLE_NAMES['supplier']}") if t.supplier else None,
         ol.whole("supplier_dim"))
+    for raw, (_, staged) in POLLED.items():
+        _source(f"a2_overlapping_polls_{raw.removeprefix('raw_')}", lambda s, k=raw: overlapping_polls(s, k),
+                ol.whole(ol.NAMES[staged]))
+    _source("a5_published_topic", published_topic, ol.whole("raw_counts"))
+    _mart("a15_sample_of_movements", lambda t: reports.sample_rows(t.movement, 500).agg(
+        F.count(F.lit(1)).alias("n")), "SELECT cast(20 AS bigint) AS n")
     _mart("a15_sample_rows", lambda t: reports.sample_rows(t.warehouse, 20), ol.whole("warehouse"))
 
 
@@ -542,6 +590,12 @@ def _register_g6_g7() -> None:
     _panel("g6_6_sku_sales_trend", lambda t, f: d.sku_sales_trend(t, f, AS_OF),
            op.sku_sales_trend, ("_of_skus", ONE_SKU), ("_in_spring", SPRING))
     _panel("g6_7_sku_detail", d.sku_detail, op.sku_detail, ("_of_skus", ONE_SKU))
+    below = "s.available_qty - 40 < 0"
+    _mart("g2_4_negative_available_fires", lambda t: stock.negative_available_count(lowered(t)), op.kpi(count_if(below)))
+    _mart("g6_1_negative_stock_fires", lambda t: d.negative_stock_rows(lowered(t)),
+          op.kpi(count_if(below), NO_FILTERS, "negative_stock_rows"))
+    _mart("g6_4_data_quality_fires", lambda t: d.data_quality_summary(lowered(t)),
+          op.data_quality_summary().replace("s.available_qty < 0", below))
     _mart("g7_1_value_by_category", executive.value_by_category, op.value_by_category())
     _mart("g7_2_top_low_stock", executive.top_low_stock,
           op.top_gap("reorder_point", LOW, "p.reorder_point - s.available_qty", "gap_qty"))
@@ -611,6 +665,10 @@ def kpi_panels(t: PublishedMart) -> dict[str, DataFrame]:
         "avg_abs_variance": aging.avg_abs_variance(t, f, AS_OF),
         "dead_stock_value": aging.dead_stock_value(t),
         "slow_moving_value": aging.slow_moving_value(t),
+        "below_reorder_count": stock.below_reorder_count(t),
+        "negative_available_count": stock.negative_available_count(t),
+        "damaged_total": movement.damaged_total(t),
+        "in_transit_total": movement.in_transit_total(t),
         "negative_stock_rows": reliability.negative_stock_rows(t),
         "snapshot_lag_hours": reliability.snapshot_lag_hours(t, f, NOW),
     }
@@ -663,6 +721,10 @@ def _register_h() -> None:
         "avg_abs_variance": op.avg_abs_variance(),
         "dead_stock_value": op.aging_value("days_since_movement > 90"),
         "slow_moving_value": op.aging_value("days_since_movement BETWEEN 31 AND 90"),
+        "below_reorder_count": op.below_reorder_count(),
+        "negative_available_count": op.kpi(count_if("s.available_qty < 0")),
+        "damaged_total": op.kpi(long("s.damaged_qty")),
+        "in_transit_total": op.kpi(long("s.in_transit_qty")),
         "negative_stock_rows": op.kpi(count_if("s.available_qty < 0")),
         "snapshot_lag_hours": op.snapshot_lag_hours(),
     }))

@@ -45,7 +45,7 @@ def incremental_read(
 
     The comparison is strict, as the poll statement is. ``overlap_seconds`` reads the last
     seconds before a time mark again, to catch rows that were committed late with the same
-    second; the copies this brings are removed by ``latest_per_key`` in staging.
+    second; the copies this brings are removed by an upsert with ``with_row_key``, or by the source's key.
     Rows come unsorted: the order of a poll has no meaning once rows are spread over tasks.
     """
     floor = last
@@ -56,6 +56,24 @@ def incremental_read(
     return newer, mark
 
 
+ROW_KEY = ["row_key", "copy"]
+
+
+def with_row_key(df: DataFrame, landed: str = "ingestion_time") -> DataFrame:
+    """Rows of a source without a key, each with one: a digest of its values, landing time left out, and
+    its number among equal rows. Reading a row again, by an overlapping poll, gives the same key.
+
+    Equal rows are counted on the map side before they are numbered, so very many of them are one row a
+    task. The newest landing time stands for all of them.
+    """
+    own = [c for c in df.columns if c != landed]
+    newest = [F.max(landed).alias(landed)] if landed in df.columns else []
+    counted = df.groupBy(*own).agg(F.count(F.lit(1)).alias("n"), *newest)
+    digest = F.sha2(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}), 256)
+    numbered = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))
+    return numbered.select(*df.columns, digest.alias("row_key"), "copy")
+
+
 def jdbc_options(
     url: str,
     table: str,
