@@ -693,6 +693,9 @@ def landed_tables(src: TradeTables, t: PublishedMart) -> dict[str, DataFrame]:
         "skus": skus,
         "warehouses": src.warehouses,
         "customers": src.customers,
+        "stock_counts": staging.normalise_keys(src.stock_counts, ["warehouse_id", "sku_id"]),
+        "daily_movements": derive.daily_movements(conformed(src)),
+        "calendar": t.date,
     }
 
 

@@ -110,26 +110,41 @@ def alerts(kpis: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
+def table_violations(
+    df: DataFrame, table: str, rules: dict[str, Column], parents: Sequence[tuple[str, DataFrame, str, str]]
+) -> DataFrame:
+    """Rows of a table that break each rule, and rows whose key has no parent, in one scan.
+
+    Rows are summed by their foreign keys on the map side; only these sums meet the parents (key, parent,
+    parent's key, rule), each once.
+    """
+    keys = [key for key, *_ in parents]
+    broken = [F.when(~F.coalesce(c, F.lit(False)), 1).otherwise(0).alias(f"r{i}") for i, c in enumerate(rules.values())]
+    sums = df.select(*keys, *broken).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(rules))]
+    )
+    for i, (key, parent, parent_key, _) in enumerate(parents):
+        known = parent.select(F.col(parent_key).alias(key)).distinct().withColumn(f"p{i}", F.lit(True))
+        sums = sums.join(known, key, "left")
+    columns = [F.col(f"r{i}") for i in range(len(rules))]
+    columns += [F.when(F.col(f"p{i}").isNull(), F.col("n")) for i in range(len(parents))]
+    names = [*rules, *[rule for *_, rule in parents]]
+    totals = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(f"v{i}") for i, c in enumerate(columns)])
+    found = [F.struct(F.lit(n).alias("rule"), F.col(f"v{i}").alias("violations")) for i, n in enumerate(names)]
+    rows = totals.select(F.explode(F.array(*found)).alias("p"))
+    return rows.select(F.lit(table).alias("table"), "p.rule", "p.violations")
+
+
 def row_violations(df: DataFrame, table: str, rules: dict[str, Column]) -> DataFrame:
     """Rows that break each rule; all rules of a table in one pass."""
-    broken = df.agg(*[count_where(~F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()])
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules])
-    )
-    return broken.select(pairs.alias("p")).select(
-        F.lit(table).alias("table"), "p.rule", "p.violations"
-    )
+    return table_violations(df, table, rules, [])
 
 
 def missing_parents(
     df: DataFrame, table: str, key: str, parent: DataFrame, parent_key: str, rule: str
 ) -> DataFrame:
-    """Rows whose key has no parent. Rows are counted per key before the anti join."""
-    per_key = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_key).alias("k"))
-    total = F.coalesce(F.sum("n"), F.lit(0)).alias("violations")
-    orphans = per_key.join(known, "k", "left_anti").agg(total)
-    return orphans.select(F.lit(table).alias("table"), F.lit(rule).alias("rule"), "violations")
+    """Rows whose key has no parent."""
+    return table_violations(df, table, {}, [(key, parent, parent_key, rule)])
 
 
 def repeated_keys(df: DataFrame, table: str, keys: Sequence[str], rule: str) -> DataFrame:
@@ -145,7 +160,8 @@ def constraint_violations(landed: dict[str, DataFrame]) -> DataFrame:
 
     ``landed`` maps table names to frames: inventory_transactions, inventory_snapshot_daily,
     purchase_order_lines, sales_order_lines, sales_orders, purchase_orders, suppliers,
-    inventory_transfers, inventory_transfer_lines, skus, warehouses, customers.
+    inventory_transfers, inventory_transfer_lines, skus, warehouses, customers, stock_counts,
+    daily_movements, calendar.
     """
     c = F.col
     t = landed
@@ -172,6 +188,14 @@ def constraint_violations(landed: dict[str, DataFrame]) -> DataFrame:
         },
         "inventory_transfers": {
             "warehouses differ": c("from_warehouse_id") != c("to_warehouse_id"),
+            "status is known": c("status").isin(
+                "REQUESTED", "PICKING", "IN_TRANSIT", "RECEIVED", "CANCELLED"
+            ),
+        },
+        "purchase_orders": {
+            "status is known": c("status").isin(
+                "DRAFT", "OPEN", "PARTIAL", "RECEIVED", "CLOSED", "CANCELLED"
+            ),
         },
         "inventory_transfer_lines": {"quantity is positive": c("qty") > 0},
     }
@@ -179,6 +203,12 @@ def constraint_violations(landed: dict[str, DataFrame]) -> DataFrame:
         ("inventory_transactions", "warehouse_id", "warehouses", "warehouse_id", "warehouse exists"),
         ("inventory_transactions", "sku_id", "skus", "sku_id", "sku exists"),
         ("inventory_snapshot_daily", "sku_id", "skus", "sku_id", "sku exists"),
+        ("inventory_snapshot_daily", "warehouse_id", "warehouses", "warehouse_id",
+         "warehouse exists"),
+        ("stock_counts", "sku_id", "skus", "sku_id", "sku exists"),
+        ("stock_counts", "warehouse_id", "warehouses", "warehouse_id", "warehouse exists"),
+        ("daily_movements", "sku_id", "skus", "sku_id", "sku exists"),
+        ("daily_movements", "warehouse_id", "warehouses", "warehouse_id", "warehouse exists"),
         ("purchase_order_lines", "po_id", "purchase_orders", "po_id", "order exists"),
         ("purchase_order_lines", "sku_id", "skus", "sku_id", "sku exists"),
         ("sales_order_lines", "order_id", "sales_orders", "order_id", "order exists"),
@@ -186,8 +216,14 @@ def constraint_violations(landed: dict[str, DataFrame]) -> DataFrame:
         ("sales_orders", "customer_id", "customers", "customer_id", "customer exists"),
         ("sales_orders", "warehouse_id", "warehouses", "warehouse_id", "warehouse exists"),
         ("purchase_orders", "supplier_id", "suppliers", "supplier_id", "supplier exists"),
+        ("purchase_orders", "warehouse_id", "warehouses", "warehouse_id", "warehouse exists"),
+        ("inventory_transfers", "from_warehouse_id", "warehouses", "warehouse_id",
+         "source warehouse exists"),
+        ("inventory_transfers", "to_warehouse_id", "warehouses", "warehouse_id",
+         "target warehouse exists"),
         ("inventory_transfer_lines", "transfer_id", "inventory_transfers", "transfer_id",
          "transfer exists"),
+        ("inventory_transfer_lines", "sku_id", "skus", "sku_id", "sku exists"),
     ]
     unique = [
         ("sales_order_lines", ["order_id", "line_no"], "order and line are unique"),
@@ -198,11 +234,16 @@ def constraint_violations(landed: dict[str, DataFrame]) -> DataFrame:
         ("inventory_transfers", ["transfer_ref"], "reference is unique"),
         ("skus", ["sku_id"], "key is unique"),
         ("suppliers", ["supplier_id"], "key is unique"),
+        ("daily_movements", ["movement_date", "warehouse_id", "sku_id"], "key is unique"),
+        ("calendar", ["full_date"], "day is unique"),
     ]
-    checks = [row_violations(t[name], name, rules) for name, rules in row_rules.items()]
-    checks += [
-        missing_parents(t[child], child, key, t[parent], parent_key, rule)
-        for child, key, parent, parent_key, rule in parents
-    ]
+    tables = dict.fromkeys([*row_rules, *[child for child, *_ in parents]])
+    checks = [
+        table_violations(
+            t[name], name, row_rules.get(name, {}),
+            [(key, t[parent], own, rule) for child, key, parent, own, rule in parents if child == name],
+        )
+        for name in tables
+    ]
     checks += [repeated_keys(t[name], name, keys, rule) for name, keys, rule in unique]
     return union_all(checks).orderBy("table", "rule")

@@ -117,7 +117,23 @@ def violations() -> str:
     rows("suppliers", "raw_suppliers", "rating is between 0 and 5", "rating < 0 OR rating > 5")
     rows("inventory_transfers", "transfers", "warehouses differ",
          "from_warehouse_id = to_warehouse_id")
+    rows("inventory_transfers", "transfers", "status is known",
+         "status NOT IN ('REQUESTED', 'PICKING', 'IN_TRANSIT', 'RECEIVED', 'CANCELLED')")
+    rows("purchase_orders", "purchase_orders", "status is known",
+         "status NOT IN ('DRAFT', 'OPEN', 'PARTIAL', 'RECEIVED', 'CLOSED', 'CANCELLED')")
     rows("inventory_transfer_lines", "transfer_lines", "quantity is positive", "qty <= 0")
+    for name, source in (("stock_counts", "stock_counts"), ("daily_movements", "daily")):
+        parent(name, source, "sku_id", "product", "sku_id", "sku exists")
+        parent(name, source, "warehouse_id", "raw_warehouses", "warehouse_id", "warehouse exists")
+    for name, source in ((snap, "snapshot"), ("purchase_orders", "purchase_orders")):
+        parent(name, source, "warehouse_id", "raw_warehouses", "warehouse_id", "warehouse exists")
+    for side, word in (("from", "source"), ("to", "target")):
+        parent("inventory_transfers", "transfers", f"{side}_warehouse_id", "raw_warehouses",
+               "warehouse_id", f"{word} warehouse exists")
+    parent("inventory_transfer_lines", "transfer_lines", "sku_id", "product", "sku_id",
+           "sku exists")
+    unique("daily_movements", "daily", "movement_date, warehouse_id, sku_id", "key is unique")
+    unique("calendar", "dates", "full_date", "day is unique")
     parent(tx, "clean_tx", "warehouse_id", "raw_warehouses", "warehouse_id", "warehouse exists")
     parent(tx, "clean_tx", "sku_id", "product", "sku_id", "sku exists")
     parent(snap, "snapshot", "sku_id", "product", "sku_id", "sku exists")

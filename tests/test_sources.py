@@ -174,3 +174,14 @@ def test_monthly_layout_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan
     middle = layout.between(spark.read.parquet(path), "day", date(2001, 2, 6), date(2001, 4, 5))
     assert sorted(r.v for r in middle.collect()) == [3, 4]
+
+
+def test_row_keys_are_the_same_at_every_poll(spark):
+    kind = "a int, b string, ingestion_time timestamp"
+    early, late = datetime(2001, 8, 1, 6), datetime(2001, 8, 1, 7)
+    data = [(1, "x"), (1, "x"), (1, None), (None, None), (None, None), (2, "")]
+    first = extract.with_row_key(spark.createDataFrame([(*r, early) for r in data], kind))
+    again = extract.with_row_key(spark.createDataFrame([(*r, late) for r in reversed(data)], kind))
+    keys = [sorted((r.row_key, r["copy"], repr(r.a), repr(r.b)) for r in df.collect()) for df in (first, again)]
+    assert keys[0] == keys[1] and len({k[:2] for k in keys[0]}) == len(data)
+    assert {r.ingestion_time for r in again.collect()} == {late}
