@@ -4,25 +4,32 @@ A page is cut into text lines, one for each block of its markup. The different p
 with the very same lines count once, at their first path) are put in the order of URL path; the
 nearer of the two neighbours in that order (longer common path, then the page before) is the
 page's partner. The lines of both are aligned by a longest common subsequence, and lines that the page
-shares with its partner are deleted if another of the two pages on each side holds them too: what a
-site repeats from page to page is its frame, what two near copies share is not. On a host of two
-different pages the partner alone decides.
+shares with its partner are deleted if they are the host's frame: if SHARE of the host's different pages
+hold them, three pages at least (both, on a host of two). What a site repeats from page to page is its
+frame, what a few near copies share is not. Shared prose (two lines or more in a row of PROSE_WORDS words
+and more that end as sentences do) stays, so a host of near copies keeps its articles.
 
 Differencing alone cannot give the contract's text: a frame's advert or footer can differ on each
 page, and passages that articles share are articles all the same. So markup has a say as well:
 lines inside ``article`` or ``main`` are never deleted; if a page has such an element, no other
 lines are its text; and lines inside elements that name themselves menus, headers, footers, sidebars,
-notices, adverts, forms or comments go, shared or not. Only a whole class, id or role is such a name:
-"has-sidebar" or "comments-open" is none. ``html``, ``body``, ``article``, ``main``, ``h1`` and what
-holds a ``main`` are never frame by name; nor is what holds an ``article``, unless the page has an
-article elsewhere (comments and teasers are often articles of their own).
-
-Lines travel as hashes for the alignment, and equal pages as one. Pages are numbered in URL order
-and meet their neighbours by number, so a host with a third of all pages is no hot key.
+notices, adverts, forms or comments go, shared or not. Only a whole class, id or role, without a number at its
+end, is such a name: "has-sidebar" or "comments-open" is none. ``html``, ``body``, ``article``, ``main``, ``h1``
+and what holds a ``main`` are never frame by name; nor is what holds an ``article``, unless the page has an
+article elsewhere (comments and teasers are often articles of their own). A ``form`` or ``fieldset`` around
+them counts like a name. Headings in an article's own ``header`` are text. An advert inside a line is cut out
+of it, and the line goes on. Of several articles, if one alone holds an ``h1`` and is the longest, it is the
+page's and the others are teasers.
+
+Lines travel as hashes for the alignment, and equal pages as one. Pages are numbered in URL order and
+meet their neighbours inside blocks of BLOCK numbers that overlap by a page on each side: one shuffle, and
+a host with a third of all pages is no hot key. The frame of a host has at most 1 / SHARE times the lines
+of a mean page of it.
 
 Defined results: a null or empty page has the empty text; a null url has no host and pairs with other
 such pages; a page without neighbours keeps its lines, as far as markup lets them; repeated rows get
-equal results; unclosed tags end with their parent; other columns may have any name.
+equal results; unclosed tags end with their parent; a very long page is read once, in time that its length
+sets, and aligned in memory that its lines set; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -30,10 +37,13 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from bisect import bisect_right
+from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,11 +51,13 @@ from .common import settle, table, text_column
 from .sharding import numbered
 
 #: Elements whose content is no text of the page, elements of the frame, elements
-#: inside a line of text, elements without an end, whole names (class, id or role) of a frame's part, and
-#: elements that no name makes one.
+#: inside a line of text, elements without an end, whole names (class, id or role) of a frame's part,
+#: elements that no name makes one, frame elements that may go round a whole page, and headings.
 NO_TEXT = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "title", "textarea"}
 FRAME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset"}
 MAIN = {"article", "main"}
+AROUND_PAGES = {"form", "fieldset"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font",
     "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span",
@@ -71,13 +83,18 @@ TAG = re.compile(
     re.S,
 )
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+NUMBERED = re.compile(r"-?[0-9]+\Z")
+SENTENCE = re.compile(r"[.!?…。！？][\"'”’»)]*\Z")
 OPEN, ARTICLE, BOILER = 0, 1, 2
+SHARE = 0.3
+PROSE_WORDS = 12
+BLOCK = 1024
 
 
 def names_frame(attributes: str) -> bool:
     for m in NAMED.finditer(attributes):
         value = (m[1] or m[2] or m[3] or "").lower()
-        if not FRAME_WORDS.isdisjoint(value.replace("_", "-").split()):
+        if any(NUMBERED.sub("", name) in FRAME_WORDS for name in value.replace("_", "-").split()):
             return True
     return False
 
@@ -92,21 +109,67 @@ def page_lines(html: str) -> list[tuple[int, str]]:
     return lines
 
 
+class End:
+    """Places after the end tags of an element, found once for each page and element."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.found: dict[str, list[int]] = {}
+
+    def after(self, name: str, at: int) -> int | None:
+        if name not in self.found:
+            ends = re.compile(rf"</{re.escape(name)}\b[^<>]*+>", re.I)
+            self.found[name] = [m.end() for m in ends.finditer(self.html)]
+        ends = self.found[name]
+        i = bisect_right(ends, at)
+        return ends[i] if i < len(ends) else None
+
+
+class Element(NamedTuple):
+    """An open element: the kind of its lines, where it starts, how many around it (itself included) are frame by
+    name, the outermost article, whether it is in an article's own header, and what the line around it held."""
+
+    name: str
+    kind: int = OPEN
+    place: int = -1
+    by_name: int = 0
+    article: int = 0
+    heading: bool = False
+    held: list[str] | None = None
+
+
 def walked(html: str, around: dict[int, str]) -> tuple[list[tuple[int, str]], dict[int, str]]:
     """The lines, where no name makes the elements that start at ``around`` a part of the frame; and,
     if a name hid a ``main`` or ``article``, the places of the elements around it and which it was."""
     lines: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = []  # open elements and the kind of their lines
-    places: list[tuple[int, int]] = []  # of the open elements; up to each, how many are frame by name
+    owners: list[int] = []  # the outermost article of each line, 0 for none
+    titled: set[int] = set()  # articles with an h1
+    page = Element("")
+    stack: list[Element] = [page]
+    opened: Counter[str] = Counter()
     found = dict(around)
     hidden = False
     run: list[str] = []
+    end = End(html)
 
-    def end_line(kind: int) -> None:
+    def end_line() -> None:
         text = " ".join(entities.unescape("".join(run)).split())
         run.clear()
         if text:
-            lines.append((kind, text))
+            lines.append((stack[-1].kind, text))
+            owners.append(stack[-1].article)
+
+    def start(element: Element) -> None:
+        stack.append(element)
+        opened[element.name] += 1
+
+    def close() -> None:
+        if stack[-1].held is not None:  # a frame inside a line: the line goes on after it
+            end_line()
+            run[:] = stack[-1].held
+        elif stack[-1].name not in INLINE:
+            end_line()
+        opened[stack.pop().name] -= 1
 
     at, size = 0, len(html)
     while at < size:
@@ -118,59 +181,97 @@ def walked(html: str, around: dict[int, str]) -> tuple[list[tuple[int, str]], di
         name = (m[2] or m[5] or "").lower()
         if not name:
             continue
-        kind = stack[-1][1] if stack else OPEN
         if m[1] or m[4]:
-            if name not in INLINE:
-                end_line(kind)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:], places[i:]
-                    break
+            if opened[name]:
+                while stack[-1].name != name:
+                    close()
+                close()
+            elif name not in INLINE:
+                end_line()
             continue
+        attributes = m[3] or m[6] or ""
+        closed = attributes.rstrip().endswith("/")
         if name in NO_TEXT:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-            at = close.end() if close else (size if name in ("script", "style") else at)
+            if not (closed and name in ("svg", "math")):
+                at = end.after(name, at) or (size if name in ("script", "style") else at)
             continue
-        attributes = m[3] or m[6] or ""
+        top = stack[-1]
         if name in INLINE:
             if name == "br":
                 run.append(" ")
-            if name not in VOID and not attributes.rstrip().endswith("/") and m.start() not in around and names_frame(attributes):
-                end_line(kind)
-                stack.append((name, BOILER))
-                places.append((m.start(), (places[-1][1] if places else 0) + 1))
+            if name in VOID or closed:
+                continue
+            if top.kind == BOILER:  # so that its end tag is not taken for another's
+                start(top._replace(name=name, held=None))
+            elif m.start() not in around and names_frame(attributes):
+                start(top._replace(name=name, kind=BOILER, place=m.start(), by_name=top.by_name + 1, heading=False, held=[*run, " "]))
+                run.clear()
             continue
-        end_line(kind)
-        if stack and stack[-1][0] == "p":  # a block ends a paragraph that was left open
-            stack.pop(), places.pop()
-            kind = stack[-1][1] if stack else OPEN
+        end_line()
+        if top.name == "p":  # a block ends a paragraph that was left open
+            close()
+            top = stack[-1]
         if name in VOID:
             continue
-        by_name = places[-1][1] if places else 0
-        if name in MAIN and by_name:
+        if name in MAIN and top.by_name:
             hidden = True
-            for i in range(len(places) - 1, -1, -1):
-                place = places[i][0]
-                if found.get(place) in (name, "main"):  # so have those around it
+            for outer in reversed(stack):
+                if found.get(outer.place) in (name, "main"):  # so have those around it
                     break
-                found[place] = name
-        if kind != BOILER:
-            if name in FRAME:
-                kind = BOILER
-            elif name not in NEVER_BY_NAME and m.start() not in around and names_frame(attributes):
-                kind, by_name = BOILER, by_name + 1
+                if outer.place >= 0:
+                    found[outer.place] = name
+        new = top._replace(name=name, place=m.start(), held=None)
+        spared = m.start() in around
+        if top.kind != BOILER:
+            if name in AROUND_PAGES and not spared:
+                new = new._replace(kind=BOILER, by_name=top.by_name + 1)
+            elif name in FRAME - AROUND_PAGES:
+                new = new._replace(kind=BOILER, heading=name == "header" and top.kind == ARTICLE)
+            elif name not in NEVER_BY_NAME and not spared and names_frame(attributes):
+                new = new._replace(kind=BOILER, by_name=top.by_name + 1)
             elif name in MAIN:
-                kind = ARTICLE
-        stack.append((name, kind))
-        places.append((m.start(), by_name))
-    end_line(stack[-1][1] if stack else OPEN)
-    return lines, found if hidden else {}
+                new = new._replace(kind=ARTICLE)
+            if name == "article" and not top.article:
+                new = new._replace(article=m.start() + 1)
+        elif top.heading and name in HEADINGS:
+            new = new._replace(kind=ARTICLE)
+        elif name in FRAME or names_frame(attributes):
+            new = new._replace(heading=False)
+        if name == "h1" and new.kind == ARTICLE:
+            titled.add(new.article)
+        start(new)
+    end_line()
+    while stack[-1] is not page:
+        close()
+    end_line()
+    return without_teasers(lines, owners, titled), found if hidden else {}
+
+
+def without_teasers(lines: list[tuple[int, str]], owners: list[int], titled: set[int]) -> list[tuple[int, str]]:
+    sizes: Counter[int] = Counter()
+    for (kind, text), owner in zip(lines, owners, strict=True):
+        if kind == ARTICLE and owner:
+            sizes[owner] += len(text)
+    if len(titled) != 1 or len(sizes) < 2:
+        return lines
+    (own,) = titled
+    if not own or any(n >= sizes[own] for a, n in sizes.items() if a != own):
+        return lines
+    return [(BOILER if k == ARTICLE and a not in (0, own) else k, x) for (k, x), a in zip(lines, owners, strict=True)]
+
+
+def prose_places(lines: list[tuple[int, str]]) -> list[int]:
+    """Places of lines that read as prose and have such a line beside them."""
+    reads = [k == OPEN and len(x.split()) >= PROSE_WORDS and SENTENCE.search(x) is not None for k, x in lines]
+    beside = zip(reads, [False, *reads], [*reads[1:], False], strict=False)
+    return [i for i, (own, before, after) in enumerate(beside) if own and (before or after)]
 
 
 PAGE = T.StructType(
     [
         T.StructField("kinds", T.ArrayType(T.IntegerType())),
         T.StructField("lines", T.ArrayType(T.StringType())),
+        T.StructField("prose", T.ArrayType(T.IntegerType())),
         T.StructField("hashes", T.ArrayType(T.LongType())),
         T.StructField("digest", T.StringType()),
     ]
@@ -193,12 +294,13 @@ def parsed(pages: pa.Array) -> pa.Array:
             {
                 "kinds": [k for k, _ in lines],
                 "lines": [x if k == wanted else None for k, x in lines],
+                "prose": prose_places(lines),
                 "hashes": hashes,
                 "digest": hashlib.sha256(np.array(hashes, "<i8").tobytes()).hexdigest(),
             }
         )
     kinds = pa.list_(pa.int32())
-    return pa.array(out, pa.struct([("kinds", kinds), ("lines", pa.list_(pa.string())), ("hashes", pa.list_(pa.int64())), ("digest", pa.string())]))
+    return pa.array(out, pa.struct([("kinds", kinds), ("lines", pa.list_(pa.string())), ("prose", kinds), ("hashes", pa.list_(pa.int64())), ("digest", pa.string())]))
 
 
 def lcs_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -238,20 +340,16 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
 
 
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
-def shared_places(own: pa.Array, partner: pa.Array, further: pa.Array) -> pa.Array:
-    """Places of the lines shared with the partner and, if there are further pages, with one of them."""
+def shared_places(own: pa.Array, partner: pa.Array, frame: pa.Array) -> pa.Array:
+    """Places of the lines that are shared with the partner and belong to the host's frame."""
     rows = []
-    for x, y, z in zip(own.to_pylist(), partner.to_pylist(), further.to_pylist(), strict=True):
-        places = common_lines(np.array(x, np.int64), np.array(y, np.int64)) if y is not None else []
-        held = None if z is None else set(z)
-        rows.append([i for i in places if held is None or x[i] in held])
+    for x, y, z in zip(own.to_pylist(), partner.to_pylist(), frame.to_pylist(), strict=True):
+        held = set(z or ())
+        places = common_lines(np.array(x, np.int64), np.array(y, np.int64)) if y is not None and held else []
+        rows.append([i for i in places if x[i] in held])
     return pa.array(rows, pa.list_(pa.int32()))
 
 
-#: Steps in the order of pages to the neighbours that a line is looked up in.
-SIDES = {"before": 1, "after": -1, "before2": 2, "after2": -2}
-
-
 def common_start(a, b):
     """How many path segments two paths have in common at their start."""
     same = F.zip_with(F.split(a, "/"), F.split(b, "/"), lambda x, y: x.eqNullSafe(y))
@@ -259,6 +357,21 @@ def common_start(a, b):
     return F.when(first == 0, F.size(same)).otherwise(first - 1)
 
 
+def host_frames(ordered: DataFrame) -> DataFrame:
+    """For each block of pages, a map from its hosts to the lines that SHARE of the host's pages hold."""
+    pages = ordered.groupBy("host").agg(F.count("*").alias("pages"))
+    enough = F.least("pages", F.greatest(F.lit(3), F.ceil(F.col("pages") * SHARE)))
+    held = (
+        ordered.select("host", F.explode(F.array_distinct("hashes")).alias("line"))
+        .groupBy("host", "line").agg(F.count("*").alias("n")).where("n > 1")
+    )
+    frames = held.join(pages, "host").where(F.col("n") >= enough).groupBy("host").agg(F.collect_list("line").alias("frame"))
+    return (
+        ordered.select("host", "block").distinct().join(frames, "host")
+        .groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("host", "frame"))).alias("frames"))
+    )
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text, n_chars and n_shared (lines deleted by differencing) of every row."""
     address = F.coalesce(F.col(url).cast("string"), F.lit(""))
@@ -276,35 +389,35 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     )
     ordered, _ = numbered(distinct, ["host", "path", "digest"])
     ordered = settle(ordered, "ordered")
-    near = ordered
-    for name, step in SIDES.items():
-        side = ordered.select(
-            (F.col("number") + step).alias("number"),
-            *(F.col(c).alias(f"{name}_{c}") for c in ("host", "path", "hashes")),
-        )
-        near = near.join(side, "number", "left")
-    lines_of = lambda name: F.when(F.col(f"{name}_host") == F.col("host"), F.col(f"{name}_hashes"))
+    own_block = F.floor(F.col("number") / BLOCK)
+    first_of, last_of = F.col("number") % BLOCK == 0, F.col("number") % BLOCK == BLOCK - 1
+    blocks = F.array_compact(F.array(own_block, F.when(first_of, own_block - 1), F.when(last_of, own_block + 1)))
+    in_order = Window.partitionBy("block").orderBy("number")
+    side = F.struct("host", "path", "hashes")
+    near = (
+        ordered.withColumn("block", F.explode(blocks))
+        .withColumns({"before": F.lag(side).over(in_order), "after": F.lead(side).over(in_order)})
+        .where(F.col("block") == own_block)
+    )
+    near = near.join(host_frames(ordered.withColumn("block", own_block)), "block", "left")
 
     def worth(name: str):  # -1: no partner
-        fits = F.col(f"{name}_host") == F.col("host")
-        return F.when(fits, common_start(F.col("path"), F.col(f"{name}_path"))).otherwise(-1)
+        fits = F.col(f"{name}.host") == F.col("host")
+        return F.when(fits, common_start(F.col("path"), F.col(f"{name}.path"))).otherwise(-1)
 
     best = F.greatest(worth("before"), worth("after"))
-    first = worth("before") == best
-    partner = F.when(best < 0, None).when(first, lines_of("before")).otherwise(lines_of("after"))
-    others = [F.when(first, lines_of("after")).otherwise(lines_of("before")), lines_of("before2"), lines_of("after2")]
-    none = F.array().cast("array<bigint>")
-    further = F.when(F.coalesce(*others).isNotNull(), F.array_union(F.array_union(*(F.coalesce(o, none) for o in others[:2])), F.coalesce(others[2], none)))
-    shared = settle(near.select(*page, shared_places("hashes", partner, further).alias("shared")), "shared")
+    partner = F.when(best < 0, None).when(worth("before") == best, F.col("before.hashes")).otherwise(F.col("after.hashes"))
+    frame = F.try_element_at("frames", F.col("host"))
+    shared = settle(near.select(*page, shared_places("hashes", partner, frame).alias("shared")), "shared")
     found = rows.withColumn("digest", F.col("p.digest")).join(shared, page)
     has_main = F.array_contains("p.kinds", ARTICLE)
     kept = F.filter(
         F.col("p.lines"),
         lambda line, i: F.when(has_main, F.get("p.kinds", i) == ARTICLE).otherwise(
-            (F.get("p.kinds", i) == OPEN) & ~F.array_contains("shared", i)
+            (F.get("p.kinds", i) == OPEN) & (~F.array_contains("shared", i) | F.array_contains("p.prose", i))
         ),
     )
-    gone = F.size(F.filter("shared", lambda i: F.get("p.kinds", i) != ARTICLE))
+    gone = F.size(F.filter("shared", lambda i: (F.get("p.kinds", i) != ARTICLE) & ~F.array_contains("p.prose", i)))
     return found.select("page_id", "url", F.array_join(kept, "\n").alias("text"), gone.cast("long").alias("n_shared")).select(
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared"
     )
