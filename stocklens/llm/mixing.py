@@ -159,15 +159,16 @@ class Classifier:
 def fit(
     docs: DataFrame, labels: DataFrame, domain: Column, targets: Targets, key: str, text: str
 ) -> Classifier:
-    """Fit to the first SAMPLE labelled keys by hash. Of all labels only these go to the driver's
+    """Fit to the first SAMPLE labelled keys, of those that have a document, by hash. Of all labels only these go to the driver's
     side of the join, so what is broadcast has a fixed bound, as have vocabulary and counts."""
     domains = targets.domains
+    texts = docs.select(F.col(key).alias("k"), text_column(docs, text).alias("text"))
     chosen = (
         labels.select(F.col(key).alias("k"), domain.alias("domain"))
         .where(F.col("domain").isin(domains) & F.col("k").isNotNull())
+        .distinct().join(texts.select("k"), "k", "left_semi")
         .orderBy(F.xxhash64("k"), "k", "domain").limit(SAMPLE)
     )
-    texts = docs.select(F.col(key).alias("k"), text_column(docs, text).alias("text"))
     labelled = texts.join(F.broadcast(chosen), "k").dropDuplicates(["text", "domain"])
     sample = settle(features(labelled, [F.col("domain")], "text"), "labelled")
     per_domain = lambda: [

@@ -6,7 +6,9 @@ softmax layer gives its classes.
 Vectors and layer are learned together by stochastic gradient descent in numpy, document by document.
 
 Fitting: at most ``SAMPLE`` labelled documents outside the held-out fold (the first by hash of
-their key), whole texts, in one task; that task returns the model only. Scoring: every document.
+their key), whole texts, as counts by bucket of at most ``SAMPLE_BYTES`` together, in one task; that task
+returns the model only. Labels without a document take no place in the sample, and a text that a key
+repeats counts once. Scoring: every document.
 The mean is linear, so a document's score needs one number for each bucket (the vector times the
 layer), and the model that is sent to the executors has ``BUCKETS`` numbers, whatever the data.
 
@@ -15,7 +17,8 @@ Never used as input: labels, language, source, key. The key only decides the fol
 Defined results: a null or empty text has no vectors and gets the score of the layer's bias; rows
 with a null key count as held out; repeated rows get equal scores; labels other than 0 and 1, or
 without a document, are not used; without any usable label all scores are 0.5; an empty table
-gives no rows; other columns are not read and may have any name.
+gives no rows; a very long text is hashed in one piece, in memory of some 50 bytes a character; other
+columns are not read and may have any name.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +37,7 @@ from .common import settle, table, text_column
 BITS = 17
 BUCKETS = 1 << BITS
 SAMPLE = 3000
+SAMPLE_BYTES = 1 << 28
 DIM = 8
 EPOCHS = 8
 RATE = 2.0
@@ -108,13 +112,14 @@ def fold(key: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> tuple[np.ndarray, float]:
+    texts = docs.select(F.col(key).alias("k"), text_column(docs, text).alias("t"))
     chosen = (
         labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
         .where(F.col("y").isin(0, 1) & F.col("k").isNotNull() & (fold(F.col("k")) != 0))
+        .distinct().join(texts.select("k"), "k", "left_semi")
         .orderBy(F.xxhash64("k"), "k", "y").limit(SAMPLE)
     )
-    texts = docs.select(F.col(key).alias("k"), text_column(docs, text).alias("t"))
-    sample = texts.join(F.broadcast(chosen), "k")
+    sample = texts.join(F.broadcast(chosen), "k").dropDuplicates(["k", "y", "t"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,8 +144,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) ->
         yield pd.DataFrame({"bias": [bias], "values": [values.tobytes()]})
 
     features = settle(sample.mapInArrow(counted, "k string, y int, buckets binary, counts binary"), "sample")
-    # At most SAMPLE documents, as counts by bucket: a task's worth, however many labels there are.
-    row = features.repartition(1).mapInPandas(fitted, "bias double, values binary").first()
+    # A key with many texts has as many rows: the bounds hold for what reaches the fitting task.
+    place = [F.xxhash64("k"), "k", "y", "buckets", "counts"]
+    first = features.withColumn("bytes", F.octet_length("buckets") + F.octet_length("counts")).orderBy(*place).limit(SAMPLE)
+    so_far = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bounded = first.withColumn("so_far", F.sum("bytes").over(so_far)).where(F.col("so_far") <= SAMPLE_BYTES).drop("bytes", "so_far")
+    row = bounded.repartition(1).mapInPandas(fitted, "bias double, values binary").first()
     return np.frombuffer(row["values"], "<f4"), row["bias"]
 
 
