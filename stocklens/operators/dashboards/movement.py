@@ -88,22 +88,25 @@ def slow_movers(t: Tables, f: Filters = NO_FILTERS) -> DataFrame:
     A pair that never moved counts zero days.
     """
     moves = t.last_moves().filter(chosen("warehouse_id", f.warehouse) & chosen("sku_id", f.sku))
-    stock = with_dims(t.latest_snapshot(), t, f, ALL, ["sku_name", "category"])
-    per_pair = stock.groupBy("snapshot_date", *PAIR, "sku_name", "category").agg(
+    per_pair = with_dims(t.latest_snapshot(), t, f, ALL).groupBy("snapshot_date", *PAIR).agg(
         sum_long("available_qty").alias("available_qty"),
         sum_money("inventory_value").alias("inventory_value"),
     )
     days = F.datediff("snapshot_date", F.coalesce("last_event_date", "snapshot_date"))
     idle = F.col("days_since_last_movement") >= 30
-    return (
+    ranks = [
+        F.when(idle, 0).otherwise(1), F.desc("days_since_last_movement"),
+        F.desc("inventory_value"), F.col("warehouse_id"), F.col("sku_id"),
+    ]
+    top = (
         per_pair.filter(F.col("available_qty") > 0)
         .join(moves, PAIR, "left")
         .withColumn("days_since_last_movement", days)
-        .orderBy(
-            F.when(idle, 0).otherwise(1), F.desc("days_since_last_movement"),
-            F.desc("inventory_value"), "warehouse_id", "sku_id",
-        )
-        .limit(20)
+        .orderBy(*ranks).limit(20)
+    )
+    return (
+        with_dims(top, t, NO_FILTERS, "", ["sku_name", "category"])
+        .orderBy(*ranks)
         .select(
             "warehouse_id", "sku_id", or_key("sku_name", "sku_id").alias("sku_name"),
             or_unknown("category").alias("category"), "available_qty", "inventory_value",

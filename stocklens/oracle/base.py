@@ -65,7 +65,7 @@ CTES: dict[str, str] = {
            cast(ship_date AS timestamp) AS event_time, {INGESTED} AS ingestion_time
     FROM map_line""",
     "raw_skus": f"""
-    SELECT {_dirty('p_partkey', _sku('p_partkey'))} AS sku_id,
+    SELECT {_dirty('p_partkey', f"replace({_sku('p_partkey')}, '_', CASE WHEN p_partkey % 50 = 49 THEN '-' ELSE '_' END)")} AS sku_id,
            concat(' ', p_name, CASE WHEN v = 2 THEN ' v2' ELSE '' END) AS sku_name,
            p_type AS category, concat('Sub ', cast(p_size % 5 AS varchar)) AS subcategory,
            CASE WHEN p_partkey % 25 = 4 THEN '' ELSE p_brand END AS brand, 'EA' AS uom,
@@ -80,8 +80,7 @@ CTES: dict[str, str] = {
            CASE v WHEN 1 THEN '2001-01-01 00:00:00' WHEN 2 THEN '2001-06-01 00:00:00'
              ELSE 'n/a' END AS created_at
     FROM part, (VALUES (1), (2), (3)) versions(v)
-    WHERE p_partkey % 50 <> 49
-      AND (v = 1 OR (v = 2 AND p_partkey % 10 = 0) OR (v = 3 AND p_partkey % 20 = 5))""",
+    WHERE (v = 1 OR (v = 2 AND p_partkey % 10 = 0) OR (v = 3 AND p_partkey % 20 = 5))""",
     "raw_warehouses": f"""
     SELECT {_wh('r_regionkey + 1')} AS warehouse_id,
            concat('Warehouse ', lpad(cast(r_regionkey + 1 AS varchar), 2, '0')) AS warehouse_name,

@@ -2,10 +2,29 @@
 
 from __future__ import annotations
 
-from stocklens.operators.conversations import INTENTS
-from stocklens.operators.quality import ALERT_RULES
 from stocklens.oracle.base import AS_OF, INGESTED, query
 
+# Intent and its words, first fit wins.
+INTENTS = {
+    "overview": ["tong quan", "overview", "hien tai", "current inventory", "gia tri ton kho"],
+    "low_stock": ["sap het", "thieu hang", "low stock", "stockout", "reorder"],
+    "overstock": ["overstock", "vuot max", "ton qua muc", "du hang"],
+    "warehouse": ["warehouse", "kho nao", "theo kho", "tung kho"],
+    "movement": ["movement", "nhap xuat", "bien dong", "xuat nhap", "giao dich kho"],
+    "replenishment": ["po", "mua hang", "replenishment", "inbound", "don mua"],
+}
+
+# KPI, threshold, state below it, state from it on.
+ALERT_RULES = """
+    ('low_stock_count', 1, 'ok', 'alert'), ('overstock_count', 1, 'ok', 'alert'),
+    ('below_reorder_count', 1, 'ok', 'alert'), ('negative_available_count', 1, 'ok', 'alert'),
+    ('damaged_total', 1, 'ok', 'alert'), ('in_transit_total', 1, 'ok', 'alert'),
+    ('avg_lead_time', 7, 'ok', 'alert'), ('suggested_reorder_qty', 1, 'ok', 'alert'),
+    ('supplier_sla', 0.95, 'alert', 'ok'), ('count_accuracy', 80, 'alert', 'ok'),
+    ('avg_abs_variance', 1, 'ok', 'alert'), ('dead_stock_value', 1, 'ok', 'alert'),
+    ('slow_moving_value', 1, 'ok', 'alert'), ('negative_stock_rows', 1, 'ok', 'alert'),
+    ('snapshot_lag_hours', 24, 'ok', 'alert')"""
+
 NAMES = {
     "raw_inventory_transactions": "raw_tx",
     "raw_inventory_snapshot_daily": "snapshot",
@@ -74,11 +93,10 @@ def alerts(kpis: dict[str, str]) -> str:
         f"SELECT '{n}' AS kpi, cast((SELECT * FROM ({sql}) q) AS double) AS value"
         for n, sql in kpis.items()
     )
-    rules = ", ".join(f"('{k}', {t}::double, '{b}', '{a}')" for k, t, b, a in ALERT_RULES)
-    return f"""SELECT k.kpi, k.value, r.threshold,
+    return f"""SELECT k.kpi, k.value, r.threshold::double AS threshold,
       CASE WHEN k.value IS NULL THEN 'no data' WHEN k.value >= r.threshold THEN r.from_here
         ELSE r.below END AS state
-    FROM ({rows}) k JOIN (VALUES {rules}) r(kpi, threshold, below, from_here) ON r.kpi = k.kpi"""
+    FROM ({rows}) k JOIN (VALUES {ALERT_RULES}) r(kpi, threshold, below, from_here) ON r.kpi = k.kpi"""
 
 
 def violations() -> str:

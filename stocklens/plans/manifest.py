@@ -223,12 +223,15 @@ def upsert(
     df: DataFrame, path: str, schema: StructType, key: Sequence[str], day: str | None = None,
     sort_cols: Sequence[str] = (), mark: str | None = None,
 ) -> Manifest:
-    """Rows of ``df``, one a key, replace those of the same key; only partition values that ``df`` has are
-    rewritten, so a key must keep its business date."""
+    """Rows of ``df``, one a key, replace those of the same key. Rewritten are the partition values that ``df``
+    has and those that its keys had before: a row whose business date moved leaves its old month. The latter are
+    found by a scan of the key columns only."""
     spark = df.sparkSession
     held = read_manifest(spark, path)
     # One entry for each month or day.
-    touched = [r[0] for r in df.select(F.col(held.column).cast("string")).distinct().collect()]
+    value = F.col(held.column).cast("string").alias("value")
+    before = read_table(spark, path, schema, manifest=held).select(*key, value).join(df.select(*key), list(key), "left_semi")
+    touched = [r[0] for r in df.select(value).unionAll(before.select("value")).distinct().collect()]
     old = read_table(spark, path, schema, touched, held)
     kept = old.join(df.select(*key), list(key), "left_anti")
     return replace_values(kept.unionByName(df), path, schema, touched, day, sort_cols, mark=mark)

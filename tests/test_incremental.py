@@ -112,6 +112,21 @@ def test_upsert_rewrites_touched_months_only(spark, tmp_path):
     assert spark.sql(f"SELECT timestamp_micros({held.landed}) t").first().t == later
 
 
+def test_a_row_that_moves_leaves_its_old_month(spark, tmp_path):
+    kind = "id int, day date, qty int, ingestion_time timestamp"
+    at = datetime(2001, 8, 1, 6)
+    rows = [(1, date(2001, 5, 3), 1, at), (2, date(2001, 6, 3), 2, at), (3, date(2001, 6, 9), 3, at), (4, date(2001, 7, 1), 4, at)]
+    mart = IncrementalMart(spark, str(tmp_path), spark.range(0))
+    mart.upsert("lines", spark.createDataFrame(rows, kind), ["id"], "day")
+    before = mart.held("lines")
+    mart.upsert("lines", spark.createDataFrame([(2, date(2001, 7, 2), 20, at), (4, date(2001, 8, 5), 40, at)], kind), ["id"], "day")
+    held = mart.held("lines")
+    schema = with_month(spark.createDataFrame(rows, kind), "day").schema
+    found = sorted((r.id, r.month, r.qty) for r in mart.table("lines", schema).collect())
+    assert found == [(1, "2001-05", 1), (2, "2001-07", 20), (3, "2001-06", 3), (4, "2001-08", 40)]
+    assert held.parts["2001-05"] == before.parts["2001-05"] and held.rows == 4
+
+
 def test_appends_are_compacted(spark, tmp_path):
     path, kind = str(tmp_path / "t"), "day date, n int"
     schema = with_month(spark.createDataFrame([], kind), "day").schema
