@@ -1,23 +1,38 @@
 """Personal data, and the terms that give it away, by information-theoretic sanitisation.
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers; these are the
-protected entities. A term (a capitalised word of four characters or more) near an entity discloses
-it as far as the corpus shows that the two go together (Sanchez and Batet's C-sanitisation):
+protected entities. A term (a word of any case, two characters at least, outside all base spans)
+discloses an entity as far as the corpus shows that the two go together (Sanchez and Batet's
+C-sanitisation):
 
     PMI(e, t) = log2(n_et * N / (n_e * n_t))      IC(e) = log2(N / n_e)
     disclosure = PMI / IC, at most 1 (the term occurs only with the entity)
 
-N counts the distinct texts of the corpus, n_t those that hold the term, n_e those that hold the
-entity, n_et those that hold the term within ``REACH`` code points of the entity. From
-``generalise_at`` on, a term near the entity is replaced by its class, from ``remove_at`` on it is
-removed. A pair needs ``min_texts`` texts: one text alone shows no tie, and copies are one text.
+N counts the distinct texts of the corpus, n_t those that hold the term anywhere, n_e those that
+hold the entity, n_et those that hold both. Three ties between entity and term are weighed:
+
+* *near*: a capitalised term of four characters or more is within ``REACH`` code points of the literal
+  entity, in ``min_texts`` distinct texts at least; one text alone shows no such tie, and copies are
+  one text. Other words are not tied to one address, as any word can be rare;
+* *part*: the term is a part of an e-mail address (a piece of its local part or domain, but the last
+  label), or a capitalised word beside such a term ("Johannes Brandt" of j.brandt@...), anywhere in
+  a text with that address. The datum itself shows the tie, so one text is enough;
+* *kind*: the term is within ``REACH`` code points of any entity of a kind (e is the kind). As any
+  word may be there by chance, the texts must give ``least_bits`` bits of evidence (the log-likelihood
+  ratio of the term's rate of such texts against the rate of all) and PMI must be a bit at least.
+
+From ``generalise_at`` on, a term is replaced by its class in the texts that hold the tie, from
+``remove_at`` on it is removed. A word that many texts hold has a low PMI and stays, whatever
+addresses contain it. Near ties take the reach and not the whole text, or in a corpus whose every
+text of one language ends in an address all words of that language would go.
 
 Everything is DataFrame functions. No base match holds a line end or spans a whole text, and each
 pattern starts at most once in a run of its characters, so long texts take time in proportion.
 
 Defined results: a null text is empty and has no spans; a text without digit and "@" is passed
 through untouched; equal texts get equal spans; an entity in every text discloses nothing (IC 0);
-an empty table gives no rows; further columns are kept and may have any name.
+a text without words has no terms; an empty table gives no rows; further columns are kept and may
+have any name.
 """
 
 from __future__ import annotations
@@ -38,7 +53,12 @@ PATTERNS = (
     r"[0-9](?:[ -]?[0-9])++",
     r"\+[0-9][ ().0-9-]+[0-9]",
 )
-TERM = r"(?<![\p{L}\p{N}])\p{Lu}[\p{L}\p{N}]{3,}+"
+LETTER = r"[\p{L}\p{M}\p{N}]"
+TERM = rf"(?<!{LETTER})\p{{L}}{LETTER}++"
+#: Capitalised words in a row, with single spaces.
+NAME = rf"(?<!{LETTER})\p{{Lu}}{LETTER}*+(?: \p{{Lu}}{LETTER}*+)++"
+TITLE = rf"^\p{{Lu}}{LETTER}{{3,}}"
+LEAST_PIECE = 3  # shorter pieces of an address are initials and country codes
 REACH = 120
 TAGS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "", "[NAME]")
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -100,9 +120,7 @@ def base_spans(text: Column) -> Column:
 
 def term_spans(text: Column, terms: Column, kind: int, taken: Column) -> Column:
     """Spans of the whole words ``terms`` (letters and digits only) that touch no base span."""
-    pattern = F.concat(
-        F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}])")
-    )
+    pattern = F.concat(F.lit(f"(?<!{LETTER})(?:"), F.array_join(terms, "|"), F.lit(f")(?!{LETTER})"))
     found = F.filter(
         located(text, pattern),
         lambda m: ~F.exists(taken, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])),
@@ -119,9 +137,9 @@ def span_text(spans: Column) -> Column:
     )
 
 
-def cleaned(text: Column, spans: Column) -> Column:
+def cleaned(text: Column, spans: Column, tags: tuple[str, ...] = TAGS) -> Column:
     """The text with each stretch of spans replaced by the tag of its first span."""
-    tags = F.array(*[F.lit(t) for t in TAGS])
+    tags = F.array(*[F.lit(t) for t in tags])
 
     def step(so_far: Column, s: Column) -> Column:
         piece = F.concat(
@@ -144,49 +162,127 @@ def near_terms(text: Column, span: Column) -> Column:
     before = F.when(span["start"] > REACH, F.regexp_replace(before, r"^\S+", "")).otherwise(before)
     after = F.substring(text, span["end"] + 1, F.lit(REACH))
     after = F.when(F.length(text) > span["end"] + REACH, F.regexp_replace(after, r"\S+$", "")).otherwise(after)
-    return F.array_distinct(F.regexp_extract_all(F.concat(before, F.lit(" "), after), F.lit(TERM), F.lit(0)))
+    return words_of(F.concat(before, F.lit(" "), after))
+
+
+def words_of(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
+
+
+def hashed(text: Column) -> Column:
+    """Sixteen bytes that stand for a text."""
+    return F.unhex(F.md5(text))
+
+
+def datum(text: Column, span: Column) -> Column:
+    return F.lower(F.substring(text, span["start"] + 1, span["end"] - span["start"]))
+
+
+def address_pieces(found: Column) -> Column:
+    """Pieces of a lower-case address that can be words: local part and domain, but the last label."""
+    pieces = F.split(F.regexp_replace(found, r"\.[^.]*$", ""), "[^a-z0-9]+")
+    return F.filter(F.array_distinct(pieces), lambda p: (F.length(p) >= LEAST_PIECE) & p.rlike("[a-z]"))
+
+
+def beside(text: Column) -> Column:
+    """piece (lower case) and term of each word, and of both sides of two capitalised words in a row."""
+    tie = lambda a, b: F.struct(F.lower(a).alias("piece"), b.alias("term"))
+
+    def neighbours(name: Column) -> Column:
+        words = F.split(name, " ")
+        first, second = F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words))
+        return F.concat(F.zip_with(first, second, tie), F.zip_with(second, first, tie))
+
+    names = F.transform(F.regexp_extract_all(text, F.lit(NAME), F.lit(0)), neighbours)
+    return F.array_distinct(F.concat(F.transform(words_of(text), lambda w: tie(w, w)), F.flatten(names)))
+
+
+def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
+    """One row for each distinct text: text_id, its words outside base spans, its entities with the
+    words near them, the pieces of its addresses and what stands beside such pieces."""
+    blank = (" ",) * len(TAGS)
+    t, s = F.col("t"), F.col("base")
+    base = F.when(t.rlike("[0-9@]"), base_spans(t)).otherwise(F.array().cast(SPAN))
+    rows = (
+        docs.select(text_column(docs, text).alias("t"))
+        .withColumn("base", base)
+        .withColumn("rest", F.when(F.size("base") > 0, cleaned(t, s, blank)).otherwise(t))
+    )
+    entity = lambda m: hashed(F.concat_ws(":", m["kind"], datum(t, m)))
+    found = F.transform(
+        s, lambda m: F.struct(m["kind"].alias("kind"), entity(m).alias("entity"), near_terms(t, m).alias("near"))
+    )
+    mails = F.filter(s, lambda m: m["kind"] == 0)
+    pieces = F.transform(
+        mails, lambda m: F.struct(entity(m).alias("entity"), address_pieces(datum(t, m)).alias("pieces"))
+    )
+    ties = F.when(F.size(mails) > 0, beside(F.col("rest")))
+    return rows.select(
+        hashed(t).alias("text_id"), words_of(F.col("rest")).alias("words"), found.alias("found"),
+        F.array_distinct(pieces).alias("addresses"), ties.alias("beside"),
+    ).dropDuplicates(["text_id"])
+
+
+def evidence(n_et: Column, n_t: Column, rate: Column) -> Column:
+    """Bits by which n_et of n_t texts speak against the given rate."""
+    own = n_et / n_t
+    rest = F.when(own < 1, (n_t - n_et) * F.log2((1 - own) / (1 - rate))).otherwise(0.0)
+    return n_et * F.log2(own / rate) + rest
 
 
 def disclosing_terms(
-    docs: DataFrame, text: str = "text", remove_at: float = 0.9, generalise_at: float = 0.6, min_texts: int = 2
-) -> DataFrame:
+    docs: DataFrame, text: str = "text", remove_at: float = 0.9, generalise_at: float = 0.6,
+    min_texts: int = 2, least_bits: float = 20.0,
+) -> DataFrame:
     """text_id (the text's hash), removed and generalised: the terms to take from that text."""
-    texts = docs.select(text_column(docs, text).alias("t")).withColumn("text_id", F.xxhash64("t"))
-    ties = settle(
-        texts.where(F.col("t").rlike("[0-9@]"))
-        .select("text_id", "t", F.explode(base_spans(F.col("t"))).alias("s"))
-        .select(
-            "text_id",
-            F.concat_ws(":", "s.kind", F.lower(F.expr("substring(t, s.start + 1, s.end - s.start)"))).alias("entity"),
-            near_terms(F.col("t"), F.col("s")).alias("terms"),
-        )
-        .select("text_id", F.xxhash64("entity").alias("entity"), F.explode_outer("terms").alias("term"))
-        .distinct(),
-        "ties",
-    )
-    entities = ties.groupBy("entity").agg(F.count_distinct("text_id").alias("n_e"))
-    pairs = ties.where("term is not null").groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    pairs = settle(pairs.where(F.col("n_et") >= min_texts), "pairs")
-    terms = F.array_distinct(F.regexp_extract_all(F.col("t"), F.lit(TERM), F.lit(0)))
-    corpus = settle(texts.select("text_id", terms.alias("terms")).dropDuplicates(["text_id"]), "terms")
+    corpus = settle(distinct_texts(docs, text), "texts")
     total = corpus.count()
     held = settle(
-        corpus.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-        .where(F.col("n_t") >= min_texts),
-        "held",
+        corpus.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_t")), "held"
+    )
+    found = corpus.select("text_id", F.explode("found").alias("f")).select("text_id", "f.*")
+    entities = settle(found.groupBy("entity").agg(F.count_distinct("text_id").alias("n_e")), "entities")
+    kinds = found.groupBy("kind").agg(F.count_distinct("text_id").alias("n_e"))
+    near = settle(
+        found.select("text_id", "kind", "entity", F.explode("near").alias("term")).distinct(), "near"
+    )
+    addresses = corpus.select("text_id", F.explode("addresses").alias("a")).select(
+        "text_id", "a.entity", F.explode("a.pieces").alias("piece")
+    )
+    words = corpus.where(F.size("addresses") > 0).select("text_id", F.inline("beside"))
+    parts = addresses.join(words, ["text_id", "piece"]).select("text_id", "entity", "term")
+    ties = settle(
+        near.where(F.col("term").rlike(TITLE)).select("text_id", "entity", "term", F.lit(False).alias("part"))
+        .union(parts.select("text_id", "entity", "term", F.lit(True)))
+        .groupBy("text_id", "entity", "term").agg(F.max("part").alias("part")),
+        "ties",
     )
     ratio = lambda top, bottom: F.log2(top.cast("double") / bottom.cast("double"))
     told = ratio(F.lit(total), F.col("n_e"))
     shared = ratio(F.col("n_et") * F.lit(total), F.col("n_e") * F.col("n_t"))
+    disclosure = F.when(told > 0, shared / told).otherwise(0.0)
+    gone = (disclosure >= remove_at).alias("gone")
+    pairs = (
+        ties.groupBy("entity", "term").agg(F.count("*").alias("n_et"), F.max("part").alias("part"))
+        .where((F.col("n_et") >= min_texts) | F.col("part"))
+    )
     graded = settle(
-        pairs.join(settle(entities, "entities"), "entity").join(held, "term")
-        .withColumn("disclosure", F.when(told > 0, shared / told).otherwise(0.0))
-        .where(F.col("disclosure") >= generalise_at)
-        .select("entity", "term", (F.col("disclosure") >= remove_at).alias("gone")),
+        pairs.join(entities, "entity").join(held, "term").where(disclosure >= generalise_at)
+        .select("entity", "term", gone),
         "graded",
     )
+    by_kind = near.select("text_id", "kind", "term").distinct()
+    sure = evidence(F.col("n_et"), F.col("n_t"), F.col("n_e") / F.lit(total)) >= least_bits
+    graded_kinds = settle(
+        by_kind.groupBy("kind", "term").agg(F.count("*").alias("n_et"))
+        .join(kinds, "kind").join(held, "term")
+        .where((told > 0) & (shared >= 1) & (disclosure >= generalise_at) & sure)
+        .select("kind", "term", gone),
+        "graded-kinds",
+    )
     return (
-        ties.join(graded, ["entity", "term"])
+        ties.join(graded, ["entity", "term"]).select("text_id", "term", "gone")
+        .union(by_kind.join(graded_kinds, ["kind", "term"]).select("text_id", "term", "gone"))
         .groupBy("text_id", "term").agg(F.max("gone").alias("gone"))
         .groupBy("text_id").agg(
             F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("term")))).alias("removed"),
@@ -205,7 +301,7 @@ def with_spans(docs: DataFrame, text: str = "text", **limits: float) -> DataFram
     found = (
         rows.where(possible)
         .withColumn("base", base_spans(F.col("t")))
-        .withColumn("text_id", F.xxhash64("t"))
+        .withColumn("text_id", hashed(F.col("t")))
         .join(told, "text_id", "left")
     )
     extra = [
