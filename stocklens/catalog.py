@@ -814,6 +814,14 @@ def seen_by(t: PublishedMart, user: str) -> Tables:
 
 
 def _register_x() -> None:
+    asia = Filters(region=("ASIA",))
+    _mart("x1_stock_cover", lambda t: replenishment.stock_cover(t, NO_FILTERS, AS_OF), op.stock_cover())
+    _mart("x1_stock_cover_of_region", lambda t: replenishment.stock_cover(t, asia, AS_OF), op.stock_cover(asia))
+    _mart("x3_receipt_ratio", lambda t: planning.receipt_ratio(t.src.purchase_orders, t.po_lines), ox.receipt_ratio())
+    _mart("x4_overdue_orders", lambda t: planning.overdue_orders(t.src.purchase_orders, t.po_lines, AS_OF),
+          ox.overdue_orders())
+    _mart("x8_aging_by_warehouse", lambda t: planning.aging_by(t, "warehouse_id"), ox.aging_by("s.warehouse_id"))
+    _mart("x8_aging_by_category", lambda t: planning.aging_by(t, "category"), ox.aging_by("p.category"))
     _mart("x2_turnover", lambda t: planning.turnover(
         t.movement, t.sales_lines, t.src.sku_costs, t.product, AS_OF, SNAPSHOT_DAYS), ox.turnover())
     _source("x5_transfer_turnaround", turnaround, ox.transfer_turnaround())

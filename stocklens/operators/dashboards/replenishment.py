@@ -108,6 +108,16 @@ def replenishment_plan(t: Tables, f: Filters, as_of: date) -> DataFrame:
     )
 
 
+def stock_cover(t: Tables, f: Filters, as_of: date) -> DataFrame:
+    """Days that the stock of every SKU lasts at its 30-day demand; null without demand."""
+    units = F.col("demand_units")
+    return _stock_and_demand(t, f, as_of).select(
+        "sku_id", or_key("sku_name", "sku_id").alias("sku_name"), or_unknown("category").alias("category"),
+        "available_qty", "avg_daily_demand",
+        F.when(units > 0, ratio(F.col("available_qty") * 100, units)).alias("days_of_cover"),
+    )
+
+
 def urgent_replenishment(t: Tables, as_of: date) -> DataFrame:
     return (
         _stock_and_demand(t, NO_FILTERS, as_of)

@@ -7,8 +7,10 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklens.functions import ratio, sum_long
+from stocklens.functions import count_where, ratio, sum_long, sum_money
+from stocklens.operators.dashboards.aging import aging_base, bucket_of
 from stocklens.operators.derive import PAIR
+from stocklens.operators.mart import Tables
 
 UNKNOWN = "Unknown"
 
@@ -217,3 +219,62 @@ def snapshot_issues(
         ))).alias("x"))
     )
     return found.unionAll(unmapped).select(*PAIR, "x.issue", "x.first_day", "x.last_day", F.col("x.n").alias("row_count"))
+
+
+def _lines_by_order(lines: DataFrame) -> DataFrame:
+    """PO lines summed per order, on the map side, before they meet the orders."""
+    return lines.groupBy("po_id").agg(
+        F.count(F.lit(1)).alias("lines"), count_where(F.col("qty_open") > 0).alias("open_lines"),
+        sum_long("qty_ordered").alias("ordered"), sum_long("qty_received").alias("received"),
+        sum_long("qty_open").alias("open"),
+    )
+
+
+def receipt_ratio(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Ordered and received quantity by supplier, what is missing, and the received share in percent.
+
+    Lines whose order is not known count for the supplier "Unknown"; more received than ordered gives
+    a negative variance and a share above a hundred.
+    """
+    per_order = _lines_by_order(lines).join(orders.select("po_id", "supplier_id"), "po_id", "left")
+    ordered, received = F.col("qty_ordered"), F.col("qty_received")
+    return (
+        per_order.groupBy(F.coalesce("supplier_id", F.lit(UNKNOWN)).alias("supplier_id"))
+        .agg(
+            sum_long("lines").alias("line_count"), sum_long("ordered").alias("qty_ordered"),
+            sum_long("received").alias("qty_received"),
+        )
+        .withColumns({"variance_qty": ordered - received, "receipt_pct": ratio(received * 100, ordered)})
+    )
+
+
+def overdue_orders(orders: DataFrame, lines: DataFrame, as_of: date) -> DataFrame:
+    """Purchase orders past their expected date and not closed, by supplier: orders, lines and quantity
+    still open, and days since the oldest expected date. Orders without an expected date are not late."""
+    late = orders.filter(
+        (F.col("expected_delivery_date") < F.lit(as_of)) & (F.upper("status") != F.lit("CLOSED"))
+    )
+    found = late.select("po_id", "supplier_id", "expected_delivery_date").join(_lines_by_order(lines), "po_id", "left")
+    return found.groupBy(F.coalesce("supplier_id", F.lit(UNKNOWN)).alias("supplier_id")).agg(
+        F.count(F.lit(1)).alias("overdue_orders"),
+        F.coalesce(sum_long("open_lines"), F.lit(0)).cast("bigint").alias("open_lines"),
+        F.coalesce(sum_long("open"), F.lit(0)).cast("bigint").alias("open_qty"),
+        F.min("expected_delivery_date").alias("oldest_expected_date"),
+        F.datediff(F.lit(as_of), F.min("expected_delivery_date")).alias("max_days_overdue"),
+    )
+
+
+def aging_by(t: Tables, dimension: str) -> DataFrame:
+    """Stocked pairs and their value by aging bucket and ``dimension``: warehouse_id, or a product
+    column. Pairs are summed per SKU or warehouse and bucket before a product column is joined."""
+    key = "warehouse_id" if dimension == "warehouse_id" else "sku_id"
+    sums = (
+        aging_base(t)
+        .groupBy(key, bucket_of(F.col("days_since_movement")).alias("aging_bucket"))
+        .agg(F.count(F.lit(1)).alias("pairs"), sum_money("inventory_value").alias("value"))
+    )
+    if dimension != key:
+        sums = sums.join(t.product.select(key, dimension), key, "left")
+    return sums.groupBy(F.coalesce(dimension, F.lit(UNKNOWN)).alias(dimension), "aging_bucket").agg(
+        sum_long("pairs").alias("pair_count"), sum_money("value").alias("aging_value")
+    )

@@ -92,3 +92,29 @@ def snapshot_issues() -> str:
       UNION ALL SELECT warehouse_id, sku_id, 'no warehouse', a, b, n FROM pairs ANTI JOIN warehouse USING (warehouse_id)
       UNION ALL SELECT warehouse_id, sku_id, 'no category', a, b, n FROM pairs
       ANTI JOIN (SELECT sku_id FROM product WHERE category <> '') USING (sku_id))""")
+
+
+def receipt_ratio() -> str:
+    return query(f"""SELECT coalesce(o.supplier_id, 'Unknown') AS supplier_id, count(*) AS line_count,
+      cast(sum(l.qty_ordered) AS bigint) AS qty_ordered, cast(sum(l.qty_received) AS bigint) AS qty_received,
+      cast(sum(l.qty_ordered) - sum(l.qty_received) AS bigint) AS variance_qty,
+      {ratio('sum(l.qty_received) * 100', 'sum(l.qty_ordered)')} AS receipt_pct
+    FROM po_lines l LEFT JOIN purchase_orders o ON o.po_id = l.po_id GROUP BY 1""")
+
+
+def overdue_orders() -> str:
+    return query(f"""SELECT o.supplier_id, count(DISTINCT o.po_id) AS overdue_orders,
+      count(*) FILTER (WHERE l.qty_open > 0) AS open_lines, cast(coalesce(sum(l.qty_open), 0) AS bigint) AS open_qty,
+      min(o.expected_delivery_date) AS oldest_expected_date,
+      cast({AS_OF} - min(o.expected_delivery_date) AS int) AS max_days_overdue
+    FROM purchase_orders o LEFT JOIN po_lines l ON l.po_id = o.po_id
+    WHERE o.expected_delivery_date < {AS_OF} AND o.status IN ('OPEN', 'PARTIAL') GROUP BY 1""")
+
+
+def aging_by(dimension: str) -> str:
+    """Bucket names are written out, so that they do not come from the operator."""
+    return query(f"""SELECT coalesce({dimension}, 'Unknown') AS {dimension.split('.')[-1]},
+      CASE WHEN s.days_since_movement <= 30 THEN '0-30 days' WHEN s.days_since_movement <= 60 THEN '31-60 days'
+        WHEN s.days_since_movement <= 90 THEN '61-90 days' ELSE '90+ days' END AS aging_bucket,
+      count(*) AS pair_count, cast(sum(s.inventory_value) AS decimal(38,2)) AS aging_value
+    FROM aging s LEFT JOIN product p ON p.sku_id = s.sku_id GROUP BY 1, 2""")

@@ -170,6 +170,11 @@ def replenishment_plan(f: Filters = NO_FILTERS) -> str:
     LIMIT 50""")
 
 
+def stock_cover(f: Filters = NO_FILTERS) -> str:
+    return query(f"""SELECT sku_id, sku_name, category, available_qty, units / 100.0::double AS avg_daily_demand,
+      {ratio("available_qty * 100", "units")} AS days_of_cover FROM {_plan_rows(f)}""")
+
+
 def urgent_replenishment() -> str:
     return query(f"""SELECT sku_id, sku_name, category, available_qty, reorder_point, max_stock,
       units / 100.0::double AS avg_daily_demand, recommended_reorder_qty
