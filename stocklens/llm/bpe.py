@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settle, table, text_column
+from .common import bounded_batches, settle, table, text_column
 
 LEAF_CHARS = 32_768
 WINDOW_CHARS = 64  # least window on either side of a seam; longer than any special token
@@ -368,6 +368,7 @@ def encode(
 
     ``vocabulary``: a tokenizer file, read by the driver. Equal long texts are encoded once.
     """
+    bounded_batches(docs.sparkSession)
     with open(vocabulary, encoding="utf-8") as file:
         definition = file.read()
     fields = [F.col(f"r.{c}").alias(c) for c in RESULT.names]

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A Python worker gets texts in Arrow batches of this size at most (one longer text is one batch).
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -42,6 +45,14 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Limit the session's Arrow batches to BATCH_BYTES, so that a worker's memory does not follow the
+    length of 10,000 texts; a lower limit that the session has stays. Batches change no result."""
+    held = spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < held <= BATCH_BYTES:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a variant of it that no column of ``df`` has (names differ beyond case)."""
     taken = {c.lower() for c in df.columns}

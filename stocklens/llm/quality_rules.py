@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, settle, table, text_column
+from .common import bounded_batches, fresh, settle, table, text_column
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 ADVISORY = ("fails_symbols", "fails_lines", "fails_word_length")
@@ -152,6 +152,7 @@ def kept_by(verdict: Column, fails: list[Column]) -> Column:
 
 
 def measured_documents(docs: DataFrame, rules: Rules, text: str, host: str, *keep: str) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     found = docs.select(
         *keep, host_key(host).alias("host"), metrics_of(text_column(docs, text)).alias("m")
     )

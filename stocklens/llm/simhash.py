@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import settle, table, text_column
+from .common import bounded_batches, settle, table, text_column
 from .components import smallest_reachable
 
 RADIUS = 3
@@ -59,6 +59,7 @@ def fingerprint(text: bytes, width: int) -> int:
 
 def fingerprints(docs: DataFrame, text: str, width: int):
     """Column with the fingerprint as a long (two's complement)."""
+    bounded_batches(docs.sparkSession)
 
     @F.arrow_udf(T.LongType())
     def of(texts: pa.Array) -> pa.Array:
