@@ -8,7 +8,7 @@ C-sanitisation):
     PMI(e, t) = log2(n_et * N / (n_e * n_t))      IC(e) = log2(N / n_e)
     disclosure = PMI / IC, at most 1 (the term occurs only with the entity)
 
-N counts the distinct texts of the corpus, n_t those that hold the term anywhere, n_e those that
+N counts the distinct texts of the corpus, n_t those that hold the term anywhere (in an address too), n_e those that
 hold the entity, n_et those that hold both. Three ties between entity and term are weighed:
 
 * *near*: a capitalised term of four characters or more is within ``REACH`` code points of the literal
@@ -137,9 +137,9 @@ def span_text(spans: Column) -> Column:
     )
 
 
-def cleaned(text: Column, spans: Column, tags: tuple[str, ...] = TAGS) -> Column:
+def cleaned(text: Column, spans: Column) -> Column:
     """The text with each stretch of spans replaced by the tag of its first span."""
-    tags = F.array(*[F.lit(t) for t in tags])
+    tags = F.array(*[F.lit(t) for t in TAGS])
 
     def step(so_far: Column, s: Column) -> Column:
         piece = F.concat(
@@ -156,6 +156,21 @@ def cleaned(text: Column, spans: Column, tags: tuple[str, ...] = TAGS) -> Column
     return F.aggregate(spans, start, step, last)
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans; all other places stay where they are."""
+
+    def step(so_far: Column, s: Column) -> Column:
+        at = so_far["at"]
+        gap = F.substring(text, at + 1, F.greatest(s["start"] - at, F.lit(0)))
+        blanks = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(at, s["start"]), F.lit(0)))
+        out = F.concat(so_far["out"], F.array(F.concat(gap, blanks)))
+        return F.struct(F.greatest(at, s["end"]).alias("at"), out.alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    last = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text)))
+    return F.aggregate(spans, start, step, last)
+
+
 def near_terms(text: Column, span: Column) -> Column:
     """Terms within REACH code points of the span; words cut by the reach are left out."""
     before = F.substring(text, F.greatest(span["start"] - REACH, F.lit(0)) + 1, F.least(span["start"], F.lit(REACH)))
@@ -197,20 +212,23 @@ def beside(text: Column) -> Column:
     return F.array_distinct(F.concat(F.transform(words_of(text), lambda w: tie(w, w)), F.flatten(names)))
 
 
-def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
-    """One row for each distinct text: text_id, its words outside base spans, its entities with the
-    words near them, the pieces of its addresses and what stands beside such pieces."""
-    blank = (" ",) * len(TAGS)
+def texts_with_entities(docs: DataFrame, text: str) -> DataFrame:
+    """One row for each distinct text with a base span: text_id, its entities with the words near
+    them, the pieces of its addresses and what stands beside such pieces. Only these texts are shuffled."""
     t, s = F.col("t"), F.col("base")
-    base = F.when(t.rlike("[0-9@]"), base_spans(t)).otherwise(F.array().cast(SPAN))
     rows = (
         docs.select(text_column(docs, text).alias("t"))
-        .withColumn("base", base)
-        .withColumn("rest", F.when(F.size("base") > 0, cleaned(t, s, blank)).otherwise(t))
+        .where(t.rlike("[0-9@]"))
+        .withColumn("base", base_spans(t))
+        .where(F.size("base") > 0)
+        .withColumn("text_id", hashed(t))
+        .dropDuplicates(["text_id"])
+        .withColumn("rest", masked(t, s))
     )
     entity = lambda m: hashed(F.concat_ws(":", m["kind"], datum(t, m)))
     found = F.transform(
-        s, lambda m: F.struct(m["kind"].alias("kind"), entity(m).alias("entity"), near_terms(t, m).alias("near"))
+        s,
+        lambda m: F.struct(m["kind"].alias("kind"), entity(m).alias("entity"), near_terms(F.col("rest"), m).alias("near")),
     )
     mails = F.filter(s, lambda m: m["kind"] == 0)
     pieces = F.transform(
@@ -218,9 +236,19 @@ def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
     )
     ties = F.when(F.size(mails) > 0, beside(F.col("rest")))
     return rows.select(
-        hashed(t).alias("text_id"), words_of(F.col("rest")).alias("words"), found.alias("found"),
-        F.array_distinct(pieces).alias("addresses"), ties.alias("beside"),
-    ).dropDuplicates(["text_id"])
+        "text_id", found.alias("found"), F.array_distinct(pieces).alias("addresses"), ties.alias("beside")
+    )
+
+
+def texts_by_term(docs: DataFrame, text: str) -> DataFrame:
+    """term and n_t, the distinct texts that hold it; the null term counts all texts. Texts are made
+    distinct before they are cut into words, and each task sums its words before they are shuffled."""
+    texts = docs.select(text_column(docs, text).alias("t")).withColumn("text_id", hashed(F.col("t")))
+    terms = F.concat(words_of(F.col("t")), F.array(F.lit(None).cast("string")))
+    return (
+        texts.dropDuplicates(["text_id"]).select(F.explode(terms).alias("term"))
+        .groupBy("term").agg(F.count("*").alias("n_t"))
+    )
 
 
 def evidence(n_et: Column, n_t: Column, rate: Column) -> Column:
@@ -235,11 +263,10 @@ def disclosing_terms(
     min_texts: int = 2, least_bits: float = 20.0,
 ) -> DataFrame:
     """text_id (the text's hash), removed and generalised: the terms to take from that text."""
-    corpus = settle(distinct_texts(docs, text), "texts")
-    total = corpus.count()
-    held = settle(
-        corpus.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_t")), "held"
-    )
+    corpus = settle(texts_with_entities(docs, text), "texts")
+    counts = settle(texts_by_term(docs, text), "held")
+    held = counts.where(F.col("term").isNotNull())
+    total = next((r[0] for r in counts.where(F.col("term").isNull()).select("n_t").collect()), 0)
     found = corpus.select("text_id", F.explode("found").alias("f")).select("text_id", "f.*")
     entities = settle(found.groupBy("entity").agg(F.count_distinct("text_id").alias("n_e")), "entities")
     kinds = found.groupBy("kind").agg(F.count_distinct("text_id").alias("n_e"))

@@ -33,17 +33,16 @@ def plain(texts: list[str], remove_at=0.9, generalise_at=0.6, min_texts=2, least
     for text in texts:
         spans, rest, at = brute(text), "", 0
         for a, _, b in spans:
-            if a >= at:
-                rest += text[at:a] + " "
+            rest += text[at:a] + " " * (b - max(a, at))
             at = max(at, b)
         rest += text[at:]
         words = set(WORD.findall(rest))
-        n_t.update(words)
+        n_t.update(set(WORD.findall(text)))
         ties = set()
         for a, k, b in spans:
             datum = (k, text[a:b].lower())
             held[text] |= {(datum, None), (k, None)}
-            near = window(text, a, b)
+            near = window(rest, a, b)
             ties |= {(k, w) for w in near} | {(datum, w) for w in near if regex.match(rf"\p{{Lu}}{L}{{3}}", w)}
             if k == 0:
                 pieces = {p for p in regex.split("[^a-z0-9]+", datum[1].rpartition(".")[0]) if len(p) > 2 and regex.search("[a-z]", p)}
