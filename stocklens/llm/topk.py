@@ -1,8 +1,10 @@
 """Exact top-k inner products: tiles of queries against shards of candidates.
 
 Vectors become integers, floor(64 x), and are packed into blocks: shards of ``SHARD`` candidates
-and tiles of ``TILE`` queries, one row each. Every tile meets every shard (the query set is stated,
-so that is the work asked for, a block pair at a time); one matrix product gives all scores of a
+and tiles of ``TILE`` queries (fewer of very wide vectors: ``CELLS`` components at most), one row each,
+components in as few bytes as the block's values need. Every tile meets every shard (the query set is stated,
+so that is the work asked for, a block pair at a time) in a sort-merge join: a copy of the tiles for each
+shard is far more than their file, by which Spark would judge them fit for a broadcast. One matrix product gives all scores of a
 pair, and a partial selection keeps the k best of each query. The lists of a query are then
 merged along a tree: ``FAN`` shards' lists at a time, until one is left. No task holds more than two
 blocks and one score matrix, or FAN lists of a query.
@@ -28,12 +30,16 @@ from pyspark.sql import types as T
 
 from .common import settle, table
 
-TILE = 512
-SHARD = 4096
+TILE = 256
+SHARD = 16384
+CELLS = 1 << 22
 FAN = 16
 BLOCK = T.StructType(
-    [T.StructField("width", T.IntegerType()), T.StructField("ids", T.BinaryType()), T.StructField("data", T.BinaryType())]
-)
+    [
+        T.StructField("width", T.IntegerType()), T.StructField("bytes", T.IntegerType()),
+        T.StructField("ids", T.BinaryType()), T.StructField("data", T.BinaryType()),
+    ]
+)
 TOP = T.ArrayType(T.StructType([T.StructField("worse", T.LongType()), T.StructField("vec_id", T.LongType())]))
 LISTS = T.ArrayType(T.StructType([T.StructField("query_id", T.LongType()), T.StructField("top", TOP)]))
 
@@ -50,7 +56,7 @@ def whole_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
 
 @F.arrow_udf(BLOCK)
 def packed(ids: pa.Array, vectors: pa.Array) -> pa.Array:
-    """Blocks from lists of ids and of vectors: ids ascending, vectors as rows of 64-bit integers."""
+    """Blocks from lists of ids and of vectors: ids ascending, vectors as rows of integers of ``bytes`` bytes."""
     out = []
     for i, v in zip(ids, vectors, strict=True):
         keys = np.array(i.as_py(), np.int64)
@@ -61,8 +67,18 @@ def packed(ids: pa.Array, vectors: pa.Array) -> pa.Array:
         data = np.zeros((len(keys), width), "<i8")
         flat = np.asarray(lists.flatten())
         data[np.arange(width)[None, :] < lengths[:, None]] = flat
-        out.append({"width": width, "ids": keys[order].tobytes(), "data": data[order].tobytes()})
-    return pa.array(out, pa.struct([("width", pa.int32()), ("ids", pa.binary()), ("data", pa.binary())]))
+        size = item_size(data)
+        rows = data[order].astype(f"<i{size}")
+        out.append({"width": width, "bytes": size, "ids": keys[order].tobytes(), "data": rows.tobytes()})
+    return pa.array(
+        out, pa.struct([("width", pa.int32()), ("bytes", pa.int32()), ("ids", pa.binary()), ("data", pa.binary())])
+    )
+
+
+def item_size(data: np.ndarray) -> int:
+    """Bytes of the smallest integer that holds all values."""
+    low, high = int(data.min(initial=0)), int(data.max(initial=0))
+    return next(n for n in (1, 2, 4, 8) if -(1 << 8 * n - 1) <= low and high < 1 << 8 * n - 1)
 
 
 def blocks(vectors: DataFrame, size: int, total: int) -> DataFrame:
@@ -78,7 +94,7 @@ def blocks(vectors: DataFrame, size: int, total: int) -> DataFrame:
 
 def unpacked(block: dict) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(block["ids"], "<i8")
-    return ids, np.frombuffer(block["data"], "<i8").reshape(len(ids), block["width"])
+    return ids, np.frombuffer(block["data"], f"<i{block['bytes']}").reshape(len(ids), block["width"])
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -92,7 +108,7 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if most < 2.0**52:
         return (x @ y.T).astype(np.int64)
     if most < 2.0**62:
-        return a @ b.T
+        return a.astype(np.int64) @ b.astype(np.int64).T
     raise OverflowError("a score can need more than 62 bits")
 
 
@@ -157,7 +173,8 @@ def top_k(
     the id) holds."""
     vectors = whole_vectors(rows, key, vector).dropDuplicates()
     vectors = vectors.withColumn("asks", queries)
-    total, asking = vectors.agg(F.count("*"), F.count_if("asks")).first()
+    total, asking, width = vectors.agg(F.count("*"), F.count_if("asks"), F.max(F.size("v"))).first()
+    tile, shard = (max(1, min(size, CELLS // max(width or 0, 1))) for size in (tile, shard))
     shards = settle(blocks(vectors.drop("asks"), shard, total), "shards")
     tiles = settle(blocks(vectors.where("asks").drop("asks"), tile, asking), "tiles")
     groups = max(1, -(-total // shard))
@@ -165,7 +182,7 @@ def top_k(
     to_all = tiles.select(
         F.col("b").alias("t"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("block")
     )
-    lists = to_all.join(shards, "block").select(
+    lists = to_all.hint("merge").join(shards, "block").select(
         F.col("block").alias("group"), F.explode(selected(k, F.col("t"), F.col("b"))).alias("l")
     ).select("group", "l.query_id", "l.top")
     while True:

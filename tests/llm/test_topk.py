@@ -59,3 +59,26 @@ def test_products_are_exact_or_fail():
     assert topk.products(big, big).tolist() == [[(1 << 60) + 9]]
     with pytest.raises(OverflowError):
         topk.products(np.array([[1 << 40]]), np.array([[1 << 40]]))
+
+
+def test_copies_of_the_tiles_are_not_broadcast(spark):
+    rows = spark.range(600).select(F.col("id").alias("vec_id"), F.array(F.col("id") / 64, F.lit(0.5)).alias("embedding"))
+    found = topk.top_k(rows, F.col("vec_id") % 20 == 0, k=3, tile=4, shard=50)
+    assert found.count() == 30 * 3
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize(("value", "size"), [(127, 1), (-128, 1), (128, 2), (-129, 2), (1 << 15, 4), (-(1 << 31), 4), (1 << 31, 8)])
+def test_blocks_take_the_bytes_they_need(value, size):
+    assert topk.item_size(np.array([[0, value]])) == size
+    assert topk.item_size(np.zeros((0, 3), np.int64)) == 1
+
+
+def test_wide_vectors_and_large_values(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CELLS", 12)
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.integers(-(1 << n), 1 << n, 4)]) for i, n in enumerate([0, 3, 9, 20] * 12)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk.top_k(frame, F.col("vec_id") % 20 == 0, k=4).collect()
+    assert {tuple(r) for r in found} == brute(rows, 4)
