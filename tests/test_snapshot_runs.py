@@ -7,8 +7,10 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from stocklens.catalog import OUTGOING
 from stocklens.operators import derive, staging
 from stocklens.plans import pipeline
+from stocklens.sources import extract
 from tests.small import LANDED, TODAY, days_ago
 from tests.test_snapshot import costs, frame
 
@@ -78,3 +80,17 @@ def test_published_snapshot_shuffles_runs_only(spark, tmp_path, monkeypatch):
     assert sorted(written.collect(), key=str) == sorted(lazy.collect(), key=str)
     held = mart.manifest("snapshot")
     assert (held.rows, held.last) == (lazy.count(), TODAY.isoformat()) and len(held.parts) == 121
+
+
+def test_wire_rows_get_their_cost_before_days_are_filled(spark, monkeypatch):
+    rule = {c: F.lit(1) for c in ("reserved_qty", "damaged_qty", "in_transit_qty")}
+    monkeypatch.setattr(pipeline, "sample_shelf_rule", lambda: rule)
+    monkeypatch.setattr(staging, "stg_product", lambda skus: skus)
+    known = costs(spark, "A", "C").withColumn("unit_cost", F.lit(7).cast("decimal(18,2)"))
+    src = SimpleNamespace(transactions=frame(spark, moves()), sku_costs=costs(spark, "A", "B", "C"), skus=known)
+    sent = OUTGOING["snapshot_topic"](src)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert filled_last(sent) and "Join" not in plan[: plan.index("explode(sequence(valid_from")]
+    want = extract.extract_snapshot(pipeline.raw_snapshot(src).drop("ingestion_time"), known)
+    assert sent.columns == want.columns
+    assert sorted(sent.collect(), key=str) == sorted(want.collect(), key=str)
