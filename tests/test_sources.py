@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from stocklens.functions import latest_per_key
 from stocklens.plans import layout
+from stocklens.plans.incremental import IncrementalMart
 from stocklens.schemas import MESSAGES, message_schema
 from stocklens.sources import extract, topics
 from tests.small import rows
@@ -185,3 +186,21 @@ def test_row_keys_are_the_same_at_every_poll(spark):
     keys = [sorted((r.row_key, r["copy"], repr(r.a), repr(r.b)) for r in df.collect()) for df in (first, again)]
     assert keys[0] == keys[1] and len({k[:2] for k in keys[0]}) == len(data)
     assert {r.ingestion_time for r in again.collect()} == {late}
+
+
+def test_an_overlapping_poll_opens_only_the_months_it_has_rows_of(spark, tmp_path):
+    kind = "a int, day date, ingestion_time timestamp"
+    early, late = datetime(2001, 8, 1, 6), datetime(2001, 8, 2, 6)
+    days = [date(2001, 5, 3), date(2001, 6, 3), date(2001, 6, 3), date(2001, 7, 9)]
+    first = spark.createDataFrame([(1, d, early) for d in days[:3]], kind)
+    again = spark.createDataFrame([(1, d, late) for d in days[1:]], kind)
+    mart = IncrementalMart(spark, str(tmp_path), spark.range(0))
+    mart.upsert("polled", extract.with_row_key(first), extract.ROW_KEY, "day", settled=True)
+    (other,) = (tmp_path / "polled").glob("*/month=2001-05/*.parquet")
+    whole = other.read_bytes()
+    other.write_bytes(b"none")  # not even its footer can be read
+    mart.upsert("polled", extract.with_row_key(again), extract.ROW_KEY, "day", settled=True)
+    other.write_bytes(whole)
+    rows = mart.table("polled").collect()
+    assert sorted((r.day, r["copy"]) for r in rows) == [(days[0], 1), (days[1], 1), (days[1], 2), (days[3], 1)]
+    assert all(len(r.row_key) == 16 for r in rows)
