@@ -7,7 +7,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
-from stocklens.catalog import OUTGOING
+from stocklens.catalog import OUTGOING, wire_rows
 from stocklens.operators import derive, staging
 from stocklens.plans import pipeline
 from stocklens.sources import extract
@@ -94,3 +94,26 @@ def test_wire_rows_get_their_cost_before_days_are_filled(spark, monkeypatch):
     want = extract.extract_snapshot(pipeline.raw_snapshot(src).drop("ingestion_time"), known)
     assert sent.columns == want.columns
     assert sorted(sent.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_wire_rows_are_shaped_once_per_run(spark, monkeypatch):
+    rule = {c: F.lit(1) for c in ("reserved_qty", "damaged_qty", "in_transit_qty")}
+    monkeypatch.setattr(pipeline, "sample_shelf_rule", lambda: rule)
+    monkeypatch.setattr(staging, "stg_product", lambda skus: skus)
+    known = costs(spark, "A", "C")
+    src = SimpleNamespace(transactions=frame(spark, moves()), sku_costs=costs(spark, "A", "B", "C"), skus=known)
+    sent = wire_rows(src, "snapshot_topic")
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    per_day = plan[: plan.index("explode(sequence(valid_from")]
+    assert filled_last(sent) and "as double" not in per_day and "created_at" in per_day
+    want = extract.to_wire(OUTGOING["snapshot_topic"](src))
+    assert sent.schema == want.schema
+    assert sorted(sent.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_wire_days_beyond_the_known_ones(spark):
+    data = [("A", days_ago(9), days_ago(-3)), ("B", days_ago(2), days_ago(2)), ("C", None, days_ago(1))]
+    runs = spark.createDataFrame(data, "sku_id string, valid_from date, valid_to date")
+    sent = extract.wire_snapshot(runs, days_ago(5), days_ago(1))
+    want = [("A", days_ago(n).isoformat()) for n in range(9, -4, -1)] + [("B", days_ago(2).isoformat())]
+    assert sorted(map(tuple, sent.collect())) == sorted(want)
