@@ -75,17 +75,18 @@ class Codec:
         self.tokens = [self.tokenizer.id_to_token(i) for i in range(size)] if self.joins_tokens else []
         suffix = json.loads(definition).get("model", {}).get("end_of_word_suffix")
         self.word_end = np.array([t.endswith(suffix) for t in self.tokens], bool) if suffix and self.tokens else None
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.pieces: dict[str, tuple[bytes, str]] = {}
+        # Ids as little-endian 32-bit numbers and nothing else: a worker holds up to 4 * MEMORY of them.
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         # What was met before the last clearing: words that come back are taken over from here.
-        self.old_words: dict[str, tuple[bytes, str]] = {}
-        self.old_pieces: dict[str, tuple[bytes, str]] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         self.placed: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
-    def _learn(self, words: list[str]) -> dict[str, tuple[bytes, str]]:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Encode ``words``; those that are not too long stay in memory."""
         known, again, old, held = self.pieces, self.old_pieces, self.old_words, self.words
         out, todo, new, long = {}, [], {}, {}
@@ -103,15 +104,13 @@ class Codec:
                         new[piece] = None
                     else:
                         known[piece] = found
-        tokens, joins = self.tokens, self.joins_tokens
         for piece, ids in self._encoded(list(new)):
-            text = " ".join([tokens[i] for i in ids]) if joins else ""
-            (known if len(piece) <= LONGEST_WORD else long)[piece] = array("I", ids).tobytes(), text
+            (known if len(piece) <= LONGEST_WORD else long)[piece] = array("I", ids).tobytes()
         for word, own in todo:
-            found = known.get(own[0]) or long[own[0]]
+            first = own[0]
+            found = known[first] if first in known else long[first]
             if len(own) > 1:
-                more = known.get(own[1]) or long[own[1]]
-                found = found[0] + more[0], f"{found[1]} {more[1]}"
+                found += known[own[1]] if own[1] in known else long[own[1]]
             out[word] = found
             if len(word) <= LONGEST_WORD:
                 held[word] = found
@@ -144,13 +143,11 @@ class Codec:
         missing = [w for w in set(chain.from_iterable(split)) if w not in known]
         learned = self._learn(missing) if missing else {}
         long = {w: learned[w] for w in missing if len(w) > LONGEST_WORD}
+        tokens = self.tokens
         for words in split:
-            found = [long[w] if w in long else known[w] for w in words] if long else [known[w] for w in words]
-            ids = b"".join([x[0] for x in found])
-            if self.joins_tokens:
-                yield ids, " ".join([x[1] for x in found if x[0]])
-            else:
-                yield ids, self.decode(np.frombuffer(ids, "<u4").tolist())
+            ids = b"".join([long[w] if w in long else known[w] for w in words] if long else [known[w] for w in words])
+            numbers = np.frombuffer(ids, "<u4").tolist()
+            yield ids, " ".join([tokens[i] for i in numbers]) if self.joins_tokens else self.decode(numbers)
 
     def encode(self, text: str) -> tuple[bytes, str]:
         return next(self.encode_all([text]))

@@ -99,6 +99,11 @@ def metrics_of(texts: pa.Array) -> pa.Array:
     )
 
 
+# Else a filter on the metrics moves below the projection that makes them: every text would be
+# measured twice, by two Python workers at once in each task.
+metrics_of = metrics_of.asNondeterministic()
+
+
 def failures(m: Column, rules: Rules) -> dict[str, Column]:
     words = m["n_words"]
     return {

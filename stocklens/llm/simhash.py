@@ -83,6 +83,15 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def masks_after(spark: SparkSession, befores: list[int]) -> DataFrame:
+    """before, masks: what each table of the next level keeps. From an Arrow table the rows are part of
+    the plan; from a list they would be an RDD, read by Python workers of a second daemon."""
+    masks = [[signed(k & FULL | m) for m in covering_masks(FULL & ~k)] for k in befores]
+    return spark.createDataFrame(
+        pa.table({"before": pa.array(befores, pa.int64()), "masks": pa.array(masks, pa.list_(pa.int64()))})
+    )
+
+
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in "ab"])))
 def linked_in_list(prints: pa.Array) -> pa.Array:
     """Links that connect, inside each list, what pairs within RADIUS connect: one for each node
@@ -116,11 +125,7 @@ def links(prints: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     level = prints.select("print", F.lit(0).cast("long").alias("before"))
     befores, keys = [0], ["kept", "bucket"]
     while befores:
-        masks = spark.createDataFrame(
-            [(k, [signed(k & FULL | m) for m in covering_masks(FULL & ~k)]) for k in befores],
-            "before long, masks array<long>",
-        )
-        spread = level.join(F.broadcast(masks), "before").select(
+        spread = level.join(F.broadcast(masks_after(spark, befores)), "before").select(
             "print", F.explode("masks").alias("kept")
         )
         spread = spread.withColumn("bucket", F.col("print").bitwiseAND(F.col("kept")))

@@ -104,3 +104,13 @@ def test_latin_words_told_apart_in_one_text(plain, codec):
     texts = ["".join(words[i : i + 3]) + " " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9)]
     for text, (ids, _) in zip(texts, codec.encode_all(texts), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_remembered_words_are_ids_only(plain, codec):
+    texts = ["Some words, some more; don't!", "x" * 70 + " again again", "", " \n ", "caf\u00e9 \u4f60\u597d 12"]
+    for text, (ids, decoded) in zip(texts, codec.encode_all(texts), strict=True):
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want
+        assert decoded == plain.decode(want, skip_special_tokens=False)
+    held = [*codec.words.values(), *codec.pieces.values()]
+    assert held and all(type(x) is bytes for x in held)

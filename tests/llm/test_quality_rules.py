@@ -74,3 +74,8 @@ def test_rejected_host_loses_all(spark):
     rows = [(i, odd, "bad") for i in range(500)] + [(600, fine, "bad")] + [(700 + i, fine, "good") for i in range(500)]
     got = {r.doc_id: r.kept for r in q.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert not got[600] and got[700]
+
+
+def test_texts_are_measured_once_by_the_pass_that_filters(spark):
+    kept = q.keep_documents(table(spark, SMALL, "documents"))
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1

@@ -111,3 +111,13 @@ def test_long_chain_and_star(spark):
     found = dict(map(tuple, components.smallest_reachable(links).collect()))
     assert found == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(300)}
     assert components.smallest_reachable(links.where("a < 0")).count() == 0
+
+
+def test_masks_need_no_python_worker(spark):
+    masks = simhash.masks_after(spark, [0, -1 << 8])
+    assert [f.simpleString() for f in masks.schema] == ["before:bigint", "masks:array<bigint>"]
+    assert "LocalTableScan" in masks._jdf.queryExecution().executedPlan().toString()
+    for r in masks.collect():
+        assert [m & simhash.FULL for m in r.masks] == [
+            r.before & simhash.FULL | m for m in simhash.covering_masks(simhash.FULL & ~r.before)
+        ]
