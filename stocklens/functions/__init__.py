@@ -1,6 +1,7 @@
 from .core import (  # noqa: F401
     count_where,
     epoch_millis,
+    kept_if,
     landed_once,
     latest_per_key,
     money,
