@@ -171,54 +171,99 @@ def movement_margins(movement: DataFrame, product: DataFrame) -> DataFrame:
     )
 
 
+#: Days of a pair are counted in chunks of so many, two days in a 64-bit number.
+CHUNK = 64
+SECOND = 2**31
+
+
 def snapshot_issues(
     snapshot: DataFrame, warehouse: DataFrame, product: DataFrame, first: date, last: date
 ) -> DataFrame:
     """What is wrong with a daily snapshot: ``gap`` (days without a row), ``duplicate`` (rows beyond the first
     of a day), ``no warehouse`` and ``no category`` (keys that the dimensions do not know or leave blank).
 
-    Gaps are ranges between neighbouring days of a pair, found by one window over one row a day; no grid
-    of days and pairs is built. Keys are joined once per pair.
+    Rows are shuffled once, by pair, and counted there: a few numbers a pair hold the rows of each day, so rows
+    are not sorted and no row of a day is kept. Days are looked at one by one only for a pair with a day that has
+    not just one row. No grid of days and pairs is built. Keys are joined once per pair.
     """
-    days = (
-        snapshot.filter(F.col("snapshot_date").between(F.lit(first), F.lit(last)))
-        .groupBy(*PAIR, "snapshot_date")
-        .agg(F.count(F.lit(1)).alias("n"))
+    span = (last - first).days + 1
+    counted = _counted_days(snapshot, first, last)
+    numbers = F.sequence(F.lit(0), F.lit(span - 1))
+    listed = counted.withColumn("days", F.when(~F.col("whole"), F.transform(numbers, _rows_of_day)))
+
+    def rows_of(i: Column) -> Column:
+        return F.coalesce(F.get("days", i), F.lit(1))  # around the window there is nothing to miss
+
+    def issue(kind: str, a: Column, b: Column, rows: Column) -> Column:
+        values = F.lit(kind).alias("issue"), a.alias("first_day"), b.alias("last_day"), rows.cast("bigint").alias("n")
+        return F.struct(*values)
+
+    def on(i: Column) -> Column:
+        return F.date_add(F.lit(first), i)
+
+    begins = F.filter(numbers, lambda i: (rows_of(i) == 0) & (rows_of(i - 1) != 0))
+    ends = F.filter(numbers, lambda i: (rows_of(i) == 0) & (rows_of(i + 1) != 0))
+    gaps = F.zip_with(begins, ends, lambda a, b: issue("gap", on(a), on(b), b - a + 1))
+    twice = F.filter(numbers, lambda i: rows_of(i) > 1)
+    copies = F.transform(twice, lambda i: issue("duplicate", on(i), on(i), rows_of(i) - 1))
+    of_days = F.when(F.col("days").isNotNull(), F.concat(gaps, copies)).otherwise(F.array())
+    pairs = listed.select(*PAIR, "a", "b", "n", of_days.alias("of_days"))
+
+    # A key that one dimension has more than once counts as often where the other does not know the pair.
+    sites = warehouse.groupBy("warehouse_id").agg(F.count(F.lit(1)).alias("sites"))
+    goods = product.filter(F.col("category") != "").groupBy("sku_id").agg(F.count(F.lit(1)).alias("goods"))
+
+    def unmapped(kind: str, known: str, other: str) -> Column:
+        times = F.coalesce(other, F.lit(1)).cast("int")
+        of_pair = F.array_repeat(issue(kind, F.col("a"), F.col("b"), F.col("n")), times)
+        return F.when(F.col(known).isNull(), of_pair).otherwise(F.array())
+
+    keyed = pairs.join(sites, "warehouse_id", "left").join(goods, "sku_id", "left")
+    found = F.concat("of_days", unmapped("no warehouse", "sites", "goods"), unmapped("no category", "goods", "sites"))
+    return keyed.select(*PAIR, F.explode(found).alias("x")).select(
+        *PAIR, "x.issue", "x.first_day", "x.last_day", F.col("x.n").alias("row_count")
     )
-    by_day = Window.partitionBy(*PAIR).orderBy("snapshot_date")
-    day = F.col("snapshot_date")
-    next_day = F.coalesce(F.lead(day).over(by_day), F.lit(last + timedelta(days=1)))
-    is_first = F.lag(day).over(by_day).isNull()
-
-    def issue(kind: str, when: Column, a: Column, b: Column, rows: Column) -> Column:
-        values = F.struct(F.lit(kind).alias("issue"), a.alias("first_day"), b.alias("last_day"), rows.cast("bigint").alias("n"))
-        return F.when(when, values)
-
-    marked = days.withColumns({"next_day": next_day, "is_first": is_first})
-    start = F.lit(first)
-    found = marked.select(
-        *PAIR,
-        F.explode(
-            F.array_compact(
-                F.array(
-                    issue("gap", F.col("is_first") & (day > start), start, F.date_sub(day, 1), F.datediff(day, start)),
-                    issue("gap", F.col("next_day") > F.date_add(day, 1), F.date_add(day, 1), F.date_sub("next_day", 1), F.datediff("next_day", day) - 1),
-                    issue("duplicate", F.col("n") > 1, day, day, F.col("n") - 1),
-                )
-            )
-        ).alias("x"),
-    )
-    pairs = days.groupBy(*PAIR).agg(F.min(day).alias("a"), F.max(day).alias("b"), F.sum("n").alias("n"))
-    sites = warehouse.select("warehouse_id", F.lit(True).alias("has_site"))
-    goods = product.filter(F.col("category") != "").select("sku_id", F.lit(True).alias("has_category"))
-    unmapped = (
-        pairs.join(sites, "warehouse_id", "left").join(goods, "sku_id", "left")
-        .select(*PAIR, F.explode(F.array_compact(F.array(
-            issue("no warehouse", F.col("has_site").isNull(), F.col("a"), F.col("b"), F.col("n")),
-            issue("no category", F.col("has_category").isNull(), F.col("a"), F.col("b"), F.col("n")),
-        ))).alias("x"))
+
+
+def _counted_days(snapshot: DataFrame, first: date, last: date) -> DataFrame:
+    """One row a pair: its first and last day from ``first`` to ``last``, its rows, whether it has one row on each
+    day, and the rows of each day in ``chunks`` (``_rows_of_day``)."""
+    chunks, rest = divmod((last - first).days + 1, CHUNK)
+    at = F.datediff("snapshot_date", F.lit(first))
+    rows = snapshot.filter(F.col("snapshot_date").between(F.lit(first), F.lit(last))).select(*PAIR, "snapshot_date")
+    one = F.when(F.pmod(at, F.lit(2)) == 0, F.lit(1)).otherwise(F.lit(SECOND)).cast("bigint")
+    number = F.floor(F.pmod(at, F.lit(CHUNK)) / 2).cast("int")
+    sums = [F.coalesce(F.sum(F.when(number == k, one)), F.lit(0)).alias(f"number{k}") for k in range(CHUNK // 2)]
+    by_chunk = (
+        rows.repartition(*PAIR)
+        .groupBy(*PAIR, F.floor(at / CHUNK).cast("int").alias("chunk"))
+        .agg(F.min("snapshot_date").alias("a"), F.max("snapshot_date").alias("b"), F.count(F.lit(1)).alias("n"), *sums)
+    )
+
+    def once(days: int) -> Column:
+        """The numbers of a chunk with one row on each of its first days."""
+        return F.array(*[F.lit((2 * k < days) + (2 * k + 1 < days) * SECOND).cast("bigint") for k in range(CHUNK // 2)])
+
+    held = F.array(*[f"number{k}" for k in range(CHUNK // 2)])
+    too_many = F.raise_error(F.lit(f"more than {SECOND - 1} snapshot rows of a warehouse and SKU in {CHUNK} days"))
+    held = F.when(F.col("n") >= SECOND, too_many).otherwise(held)
+    whole = F.col("held") == F.when(F.col("chunk") < chunks, once(CHUNK)).otherwise(once(rest))
+    return (
+        by_chunk.select(*PAIR, "chunk", "a", "b", "n", held.alias("held"))
+        .groupBy(*PAIR)
+        .agg(
+            F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n"),
+            (F.count_if(whole) == chunks + (rest > 0)).alias("whole"),
+            F.map_from_entries(F.collect_list(F.struct("chunk", "held"))).alias("chunks"),
+        )
     )
-    return found.unionAll(unmapped).select(*PAIR, "x.issue", "x.first_day", "x.last_day", F.col("x.n").alias("row_count"))
+
+
+def _rows_of_day(i: Column) -> Column:
+    """Rows of a pair on day ``i`` of the window."""
+    held = F.get(F.try_element_at("chunks", F.floor(i / CHUNK).cast("int")), F.floor(F.pmod(i, F.lit(CHUNK)) / 2).cast("int"))
+    half = F.when(F.pmod(i, F.lit(2)) == 0, F.pmod(held, F.lit(SECOND))).otherwise(F.floor(F.shiftright(held, 31)))
+    return F.coalesce(half, F.lit(0)).cast("bigint")
 
 
 def _lines_by_order(lines: DataFrame) -> DataFrame:
